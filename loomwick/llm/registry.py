@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwick.llm import token_output
+from loomwick.llm import quality_rules, simhash, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,8 +14,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op3_token_output": token_output.query,
+        "op6_url_filters": url_filters.query,
+        "op7_quality_rules": quality_rules.query,
+        "op9_simhash": simhash.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_url_filters": url_filters.ORACLE_SQL,
+    }
