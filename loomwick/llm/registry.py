@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwick.llm import quality_rules, simhash, token_output, url_filters
+from loomwick.llm import quality_rules, simhash, suffix_dedup, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op6_url_filters": url_filters.query,
         "op7_quality_rules": quality_rules.query,
         "op9_simhash": simhash.query,
+        "op10_suffix_dedup": suffix_dedup.query,
     }
 
 
