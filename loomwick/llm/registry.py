@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwick.llm import quality_rules, simhash, suffix_dedup, token_output, url_filters
+from loomwick.llm import decontamination, quality_rules, simhash, suffix_dedup, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontamination": decontamination.query,
         "op3_token_output": token_output.query,
         "op6_url_filters": url_filters.query,
         "op7_quality_rules": quality_rules.query,
@@ -23,5 +24,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_decontamination": decontamination.ORACLE_SQL,
         "op6_url_filters": url_filters.ORACLE_SQL,
     }
