@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwick.llm import decontamination, quality_rules, simhash, suffix_dedup, token_output, url_filters
+from loomwick.llm import decontamination, language_id, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_classifier": quality_classifier.query,
         "op2_decontamination": decontamination.query,
         "op3_token_output": token_output.query,
+        "op4_language_id": language_id.query,
         "op6_url_filters": url_filters.query,
         "op7_quality_rules": quality_rules.query,
         "op9_simhash": simhash.query,

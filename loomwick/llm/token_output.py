@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from loomwick.llm.common import scratch, table, texts
 
-#: Pieces that one worker remembers; the memory is emptied when full.
-CACHE_PIECES = 600_000
+#: Pieces in a generation of a worker's memory; a full one is kept as the older until the next is full.
+CACHE_PIECES = 450_000
 #: Code points below this have letter and number classes that no Unicode version changes.
 SAFE_LIMIT = 0x500
 ROW_GROUP_BYTES = 32 << 20
@@ -65,10 +65,14 @@ class PieceEncoder:
         rest = [b for b in range(256) if b not in set(plain)]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, piece: str) -> bytes:
         if len(self.cache) >= CACHE_PIECES:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
+        if known := self.older.get(piece):
+            self.cache[piece] = known
+            return known
         mapped = piece.encode().decode("latin-1").translate(self.alphabet)
         out = self.cache[piece] = array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         return out
@@ -80,8 +84,8 @@ class PieceEncoder:
         pieces = self.split(text)
         found = list(map(self.cache.get, pieces))
         if None in found:
-            get, learn = self.cache.get, self._learn
-            found = [ids or get(piece) or learn(piece) for ids, piece in zip(found, pieces, strict=True)]
+            learn = self._learn
+            found = [ids or self.cache.get(piece) or learn(piece) for ids, piece in zip(found, pieces, strict=True)]
         return b"".join(found)
 
 
