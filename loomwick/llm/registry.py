@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwick.llm import decontamination, language_id, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, url_filters
+from loomwick.llm import decontamination, html_extraction, language_id, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op4_language_id": language_id.query,
         "op6_url_filters": url_filters.query,
         "op7_quality_rules": quality_rules.query,
+        "op8_html_extraction": html_extraction.query,
         "op9_simhash": simhash.query,
         "op10_suffix_dedup": suffix_dedup.query,
     }
