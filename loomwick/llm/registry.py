@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwick.llm import decontamination, html_extraction, language_id, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, url_filters
+from loomwick.llm import decontamination, html_extraction, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash, suffix_dedup, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_decontamination": decontamination.query,
         "op3_token_output": token_output.query,
         "op4_language_id": language_id.query,
+        "op5_sentencepiece": sentencepiece_codec.query,
         "op6_url_filters": url_filters.query,
         "op7_quality_rules": quality_rules.query,
         "op8_html_extraction": html_extraction.query,
