@@ -190,81 +190,91 @@ def viterbi(scores, lengths, penalty: float = SWITCH):
     return out
 
 
-def _predict(model, spans: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Judge:
+    """Labels texts with a model; a worker's memory of the words it has scored."""
+
+    def __init__(self, model: Model | None):
+        import numpy as np
+
+        self.model, self.known, self.size = model, {}, 0
+        self.rows = np.zeros((0, len(model.langs) if model else 0), np.float32)
+
+    def _numbers(self, words: list[str]):
+        import numpy as np
+
+        found = list(map(self.known.get, words))
+        if None in found:
+            new = list(dict.fromkeys(w for w, k in zip(words, found, strict=True) if k is None))
+            got, end = self.model.scores(new), self.size + len(new)
+            if end > len(self.rows):
+                self.rows = np.concatenate([self.rows[: self.size], np.zeros((max(len(new), 50_000), got.shape[1]), np.float32)])
+            self.rows[self.size : end] = got
+            self.known.update(zip(new, range(self.size, end), strict=True))
+            self.size = end
+            found = list(map(self.known.__getitem__, words))
+        return np.array(found, np.int64)
+
+    def judge(self, texts: list[str | None], spans: bool = False):
+        """Language, score and spans (lang, words lo to hi) of each text."""
         import numpy as np
 
-        m: Model | None = model.value
-        known: dict[str, int] = {}
-        table_ = np.zeros((0, 0), np.float32)
-        size = [0]
-
-        def rows_of(words: list[str]):
-            nonlocal table_
-            found = list(map(known.get, words))
-            if None in found:
-                new = list(dict.fromkeys(w for w, k in zip(words, found, strict=True) if k is None))
-                got = m.scores(new)
-                if size[0] + len(new) > len(table_):
-                    table_ = np.concatenate([table_[: size[0]].reshape(-1, got.shape[1]), np.zeros((max(len(new), 50_000), got.shape[1]), np.float32)])
-                table_[size[0] : size[0] + len(new)] = got
-                known.update(zip(new, range(size[0], size[0] + len(new)), strict=True))
-                size[0] += len(new)
-                found = list(map(known.__getitem__, words))
-            return np.array(found, np.int64)
-
-        def judge(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            texts = [t for b in held for t in b.column(2).to_pylist()]
-            n = len(texts)
-            lang, score, runs = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
-            words = [words_of(t or "") for t in texts] if m else [[] for _ in texts]
-            lengths = np.array([len(w) for w in words], np.int64)
-            if lengths.sum():
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                    size[0] = 0
-                flat = [w for ws in words for w in ws]
-                rows = rows_of(flat)
-                scores = table_[rows]
-                label = viterbi(scores, lengths).astype(np.int64)
-                letters = np.fromiter(map(len, flat), np.int64, len(flat))
-                text = np.repeat(np.arange(n), lengths)
-                k = len(m.langs)
-                each = np.bincount(text * k + label, weights=letters, minlength=n * k).reshape(n, k)
-                top = each.argmax(1)
-                odds = np.exp(scores[np.arange(len(flat)), label]) / np.exp(scores).sum(1)
-                mine = label == top[text]
-                sure = np.bincount(text[mine], weights=(odds * letters)[mine], minlength=n) / np.maximum(1, np.bincount(text[mine], weights=letters[mine], minlength=n))
-                score = np.where(lengths > 0, each.max(1) / np.maximum(1, each.sum(1)) * sure, 0.0)
-                lang = [m.langs[x] if c else UNKNOWN for x, c in zip(top.tolist(), lengths.tolist(), strict=True)]
-                if spans:
-                    cut = np.flatnonzero(np.concatenate([[True], (label[1:] != label[:-1]) | (text[1:] != text[:-1])]))
-                    first = np.cumsum(lengths) - lengths
-                    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(label)], strict=True):
-                        t = int(text[a])
-                        runs[t].append({"lang": m.langs[label[a]], "lo": a - int(first[t]), "hi": b - int(first[t])})
-            out = [
-                pa.concat_arrays([b.column(0) for b in held]),
-                pa.concat_arrays([b.column(1) for b in held]),
-                pa.array(lang, pa.string()),
-                pa.array(np.minimum(score, 1.0)),
-            ]
+        n, m = len(texts), self.model
+        lang, score, runs = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
+        words = [words_of(t or "") for t in texts] if m else [[] for _ in texts]
+        lengths = np.array([len(w) for w in words], np.int64)
+        if not lengths.sum():
+            return lang, score, runs
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+            self.size = 0
+        flat = [w for ws in words for w in ws]
+        numbers = self._numbers(flat)  # may replace the table
+        scores = self.rows[numbers]
+        label = viterbi(scores, lengths).astype(np.int64)
+        letters = np.fromiter(map(len, flat), np.int64, len(flat))
+        text, k = np.repeat(np.arange(n), lengths), len(m.langs)
+        each = np.bincount(text * k + label, weights=letters, minlength=n * k).reshape(n, k)
+        top = each.argmax(1)
+        odds = np.exp(scores[np.arange(len(flat)), label]) / np.exp(scores).sum(1)
+        mine = label == top[text]
+        weight = np.bincount(text[mine], weights=letters[mine], minlength=n)
+        sure = np.bincount(text[mine], weights=(odds * letters)[mine], minlength=n) / np.maximum(1, weight)
+        score = np.where(lengths > 0, each.max(1) / np.maximum(1, each.sum(1)) * sure, 0.0)
+        lang = [m.langs[x] if c else UNKNOWN for x, c in zip(top.tolist(), lengths.tolist(), strict=True)]
+        if spans:
+            cut = np.flatnonzero(np.concatenate([[True], (label[1:] != label[:-1]) | (text[1:] != text[:-1])])).tolist()
+            first = (np.cumsum(lengths) - lengths).tolist()
+            for a, b in zip(cut, [*cut[1:], len(label)], strict=True):
+                t = int(text[a])
+                runs[t].append({"lang": m.langs[label[a]], "lo": a - first[t], "hi": b - first[t]})
+        return lang, np.minimum(score, 1.0), runs
+
+
+def together(batches: Iterator[pa.RecordBatch], text_at: int, most: int = TOGETHER_BYTES) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about so many bytes of text: a Viterbi pass takes as many steps as its longest text."""
+    held, weight = [], 0
+    for batch in batches:
+        held.append(batch)
+        weight += batch.column(text_at).nbytes
+        if weight >= most:
+            yield held
+            held, weight = [], 0
+    if held:
+        yield held
+
+
+def _predict(model, spans: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(model.value)
+        for held in together(batches, 2):
+            lang, score, runs = judge.judge([t for b in held for t in b.column(2).to_pylist()], spans)
+            out = [pa.concat_arrays([b.column(k) for b in held]) for k in (0, 1)] + [pa.array(lang, pa.string()), pa.array(score)]
             names = ["doc_id", "held_out", "lang_pred", "score"]
             if spans:
                 out.append(pa.array(runs, pa.list_(pa.struct([("lang", pa.string()), ("lo", pa.int32()), ("hi", pa.int32())]))))
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(out, names)
 
-        held, weight = [], 0
-        for batch in batches:
-            held.append(batch)
-            weight += batch.column(2).nbytes
-            if weight >= TOGETHER_BYTES:
-                yield from judge(held)
-                held, weight = [], 0
-        if held:
-            yield from judge(held)
-
     return run
 
 

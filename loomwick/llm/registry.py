@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from loomwick.llm import decontamination, html_extraction, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash, suffix_dedup, token_output, url_filters
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op8_html_extraction": html_extraction.query,
         "op9_simhash": simhash.query,
         "op10_suffix_dedup": suffix_dedup.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 

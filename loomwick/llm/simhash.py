@@ -58,14 +58,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     import numpy as np
 
     for batch in batches:
-        fps = np.array([fingerprint(t or b"") for t in batch.column(1).to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        fps = np.array([fingerprint(t or b"") for t in batch.column(2).to_pylist()], np.uint64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return cols.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """doc_id, th (a hash of the text) and fp (the 64 bits as a signed long) of every row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("text"))
+    return cols.mapInArrow(_fingerprints, "doc_id long, th long, fp long")
 
 
 def blocks_for(values: int) -> int:
@@ -217,7 +218,7 @@ def near_links(values: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataF
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id that links lead to, of every row."""
+    """doc_id, th, fp and component_id, the smallest doc_id that links lead to, of every row."""
     prints = materialise(fingerprints(docs), "fingerprints")
     values = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "values")
     roots = components(near_links(values, radius))
@@ -226,7 +227,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.join(least, "root").select(F.col("fp").alias("named_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "fp", "component_id")
+    return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "th", "fp", "component_id")
 
 
 def hex_of(fp: str = "fp"):
