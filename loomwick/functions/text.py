@@ -25,7 +25,7 @@ def ascii_lower(s: Column) -> Column:
 
 def blank(s: Column) -> Column:
     """Null or white space alone."""
-    return s.isNull() | (strip(s) == "")
+    return s.isNull() | ~s.rlike(r"(?U)\S")
 
 
 def one_space(s: Column) -> Column:

@@ -78,14 +78,9 @@ def check_spam(text: Column, title: Column, groups: dict[str, str] | None = None
     news = both.rlike(f"(?iU){voice}")
     spam = (own > 0) & F.when(news, kinds >= KINDS_IN_NEWS).otherwise((kinds >= KINDS) | both.rlike(f"(?iU){topic}"))
     words = F.substring(F.array_join(F.concat(F.flatten(hits), extra), ", "), 1, 60)
-    return F.when(spam, finding("spam", F.concat(F.lit("promotion: "), words), "blank")).otherwise(_no_finding())
-
-
-def check_garbled(text: Column) -> Column:
-    found = diagnose(text)
-    return F.when(found["what"].isNotNull(), finding("garbled", found["what"], F.when(found["fixed"].isNotNull(), "repair").otherwise("refetch"), found["fixed"])).otherwise(
-        _no_finding()
-    )
+    found = F.when(spam, finding("spam", F.concat(F.lit("promotion: "), words), "blank")).otherwise(_no_finding())
+    # one pass over most texts: without any signal the rest is not evaluated
+    return F.when(both.rlike("(?iU)" + "|".join((groups or PROMOTION).values())), found).otherwise(_no_finding())
 
 
 @pandas_udf(struct("unit string, fixed string"))
@@ -105,9 +100,11 @@ def find_loop(texts: pd.Series) -> pd.DataFrame:
         for period in range(1, min(40, len(code) // 10) + 1):
             same = np.concatenate([[False], code[period:] == code[:-period], [False]])
             edge = np.flatnonzero(same[1:] != same[:-1])
-            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            first, last = edge[::2], edge[1::2]
+            long = last - first >= 9 * period
+            for a, b in zip(first[long].tolist(), last[long].tolist(), strict=True):
                 rounds = (b - a) // period + 1
-                if rounds >= 10 and not taken[a : b + period].any() and text[a : a + period].strip():
+                if not taken[a : b + period].any() and text[a : a + period].strip():
                     taken[a : b + period] = True
                     loops.append((a, a + rounds * period, period))
         if not loops:
@@ -122,9 +119,19 @@ def find_loop(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(t) for t in texts], columns=["unit", "fixed"])
 
 
+#: Marked as not deterministic so that a filter on findings isn't pushed below and evaluated twice.
+_loop, _diagnose = find_loop.asNondeterministic(), diagnose.asNondeterministic()
+
+
+def check_garbled(text: Column) -> Column:
+    found = _diagnose(text)
+    return F.when(found["what"].isNotNull(), finding("garbled", found["what"], F.when(found["fixed"].isNotNull(), "repair").otherwise("refetch"), found["fixed"])).otherwise(
+        _no_finding()
+    )
+
+
 def check_loop(text: Column) -> Column:
-    # a cheap native test keeps rows without any repetition out of Python
-    found = find_loop(F.when(F.length(text) >= 10, text))
+    found = _loop(F.when(F.length(text) >= 10, text))
     fixed = found["fixed"]
     mostly = (F.length(F.trim(fixed)) < 30) | (F.length(fixed) < 0.4 * F.length(text))
     detail = F.concat(F.lit('"'), F.substring(F.trim(found["unit"]), 1, 20), F.lit('" repeated'))

@@ -244,14 +244,18 @@ def choose_track(spark, d):
     return subtitles.choose_track(rows, ["l_orderkey"])
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) / 1e6 AS s, epoch_us(ts) / 1e6 + (value % 7) - 2 AS e, event_type AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+r AS (SELECT user_id, k, s AS a, CASE WHEN e > s THEN e ELSE s + 0.5 END AS b, t, 0 AS cue FROM e WHERE k = 1
+ UNION ALL SELECT e.user_id, e.k, CASE WHEN e.t = r.t THEN r.a ELSE greatest(e.s, r.b) END, CASE WHEN e.e > greatest(e.s, r.b) THEN e.e ELSE greatest(e.s, r.b) + 0.5 END, e.t,
+  r.cue + CASE WHEN e.t = r.t THEN 0 ELSE 1 END FROM r JOIN e ON e.user_id = r.user_id AND e.k = r.k + 1)
+SELECT user_id, cue AS cue_no, round(arg_max(a, k), 3) AS start_s, round(arg_max(b, k), 3) AS end_s, arg_max(t, k) AS text FROM r GROUP BY user_id, cue""")
 def vtt_like_clamp(spark, d):
     """Cues clamped so that none overlaps: the events of a user as segments."""
     at = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     seg = F.struct("event_id", at.alias("start"), (at + F.col("value") % 7 - 2).alias("end"), F.col("event_type").alias("text"))
     rows = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(seg)).alias("s"))
-    cues = rows.select("user_id", F.posexplode(subtitles.clamp_cues(F.col("s")))).select("user_id", "pos", "col.*")
-    return cues.withColumnsRenamed({"pos": "cue_no", "start": "start_s", "end": "end_s"})
+    cues = rows.select("user_id", F.posexplode(subtitles.clamp_cues(F.col("s")))).select("user_id", F.col("pos").alias("cue_no"), "col.*")
+    return cues.select("user_id", "cue_no", F.round("start", 3).alias("start_s"), F.round("end", 3).alias("end_s"), "text")
 
 
 @query("""SELECT conv_id, string_agg(t, chr(10) ORDER BY turn) AS text FROM (SELECT conv_id, turn, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM conversations) WHERE t <> '' GROUP BY conv_id""")
@@ -431,7 +435,12 @@ def qc_garbled_utf8(spark, d):
 # --- order-dependent rules --------------------------------------------------------------------------------------
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+r AS (SELECT user_id, 0 AS k, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS reason, CAST(100 AS DOUBLE) AS rest, 0 AS c FROM (SELECT DISTINCT user_id FROM e)
+ UNION ALL SELECT e.user_id, e.k, e.event_id, CASE WHEN r.c >= 5 THEN 'count' WHEN e.value > 90 THEN 'too long' WHEN e.value > r.rest THEN 'budget' END,
+  CASE WHEN r.c >= 5 OR e.value > 90 OR e.value > r.rest THEN r.rest ELSE r.rest - greatest(e.value, 0) END, r.c + CASE WHEN r.c >= 5 OR e.value > 90 OR e.value > r.rest THEN 0 ELSE 1 END
+ FROM r JOIN e ON e.user_id = r.user_id AND e.k = r.k + 1)
+SELECT user_id, event_id, reason IS NULL AS accepted, reason, round(rest, 6) AS "left" FROM r WHERE k > 0""")
 def greedy_budget(spark, d):
     """Who gets a share of a budget, in time order and with skips: the events of each user."""
     rows = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("s"))
