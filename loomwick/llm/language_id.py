@@ -32,7 +32,7 @@ CLIP = 5.0
 #: A language uses a script if this share of its letters is of it.
 SCRIPT_SHARE = 0.02
 #: Words a worker remembers; texts taken together.
-CACHE_WORDS, TOGETHER_BYTES = 200_000, 12 << 20
+CACHE_WORDS, TOGETHER_BYTES = 100_000, 6 << 20
 #: First code points of scripts; a script reaches to the next entry.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),

@@ -35,7 +35,7 @@ MARK = "▁"
 #: Below the lowest score of any piece: what an unspelled character costs.
 UNSPELLED = 10.0
 #: Parts a generation of a worker's memory holds; bytes of parts segmented at once.
-CACHE_PARTS, TOGETHER = 400_000, 1 << 19
+CACHE_PARTS, TOGETHER = 120_000, 1 << 19
 PART = re.compile(r" *[^ ]+| +")
 _workers: dict[str, Codec] = {}
 
