@@ -56,8 +56,11 @@ def meta_values(html: Column, keys: Iterable[str]) -> Column:
     tags = iter_tags(html, ["meta"])
     of = lambda t: F.lower(F.coalesce(attribute(t["raw"], "property"), attribute(t["raw"], "name"), F.lit("")))
     pairs = F.transform(tags, lambda t: F.struct(of(t).alias("key"), attribute(t["raw"], "content").alias("content")))
-    each = [F.transform(F.filter(pairs, lambda p, k=k: (p["key"] == k) & p["content"].isNotNull()), lambda p: p["content"]) for k in keys]
-    return F.concat(*each)
+    return F.concat(*[F.transform(F.filter(pairs, _has(k)), lambda p: p["content"]) for k in keys])
+
+
+def _has(key: str):
+    return lambda p: (p["key"] == key) & p["content"].isNotNull()
 
 
 def thumb_candidates(html: Column, page_url: Column, limit: int = 24) -> Column:

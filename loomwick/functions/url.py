@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +30,11 @@ AUDIO = r"(?i)\Ahttps?://[^?#]*\.(?:mp3|m4a|aac|ogg|opus|wav|flac)(?:[?#].*)?\z"
 PARTS = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*):(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#.*)?\z"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, evaluated once: without it a value used in many places is written out, and computed, in each."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def part(url: Column, group: int) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), PARTS, group)
 
@@ -84,14 +89,15 @@ def normalize_url(raw: Column) -> Column:
 
     A text without a scheme is only stripped; a null is the empty text.
     """
-    url = F.regexp_replace(strip(F.coalesce(raw, F.lit(""))), r"[\t\r\n]", "")
+    return let(strip(F.coalesce(raw, F.lit(""))), lambda text: F.when(part(text, 1) == "", text).otherwise(_normal(text)))
+
+
+def _normal(text: Column) -> Column:
+    url = F.regexp_replace(text, r"[\t\r\n]", "")
     kept = F.filter(query_pairs(query_of(url)), lambda p: ~is_tracking(p["key"]))
     query = F.array_join(F.transform(kept, lambda p: F.concat(_encode(p["key"]), F.lit("="), _encode(p["value"]))), "&")
-    whole = F.concat(
-        scheme(url), F.lit(":"), F.when(part(url, 2) != "", F.concat(F.lit("//"), host_of(url))).otherwise(""), path_of(url),
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-    )
-    return F.when(part(url, 1) == "", strip(F.coalesce(raw, F.lit("")))).otherwise(F.rtrim(whole, F.lit("/")))
+    front = F.concat(scheme(url), F.lit(":"), F.when(part(url, 2) != "", F.concat(F.lit("//"), host_of(url))).otherwise(""), path_of(url))
+    return let(query, lambda q: F.rtrim(F.concat(front, F.when(q != "", F.concat(F.lit("?"), q)).otherwise("")), F.lit("/")))
 
 
 def host_in(url: Column, suffixes: Iterable[str] | Column) -> Column:
@@ -109,13 +115,17 @@ def host_suffixes(host: Column) -> Column:
 
 def youtube_video_id(url: Column) -> Column:
     """The 11-character id of a video url, else null."""
-    path, host = path_of(url), host_of(url)
-    found = (
-        F.when(host.isin("youtu.be", "www.youtu.be"), F.btrim(path, F.lit("/")))
-        .when(F.rtrim(path, F.lit("/")) == "/watch", first_value(query_of(url), "v"))
-        .otherwise(F.regexp_extract(path, VIDEO_PATH, 1))
-    )
-    return F.when(host_in(url, ["youtube.com", "youtu.be"]) & found.rlike(VIDEO_ID), found)
+
+    def found(url: Column) -> Column:
+        path, host = path_of(url), host_of(url)
+        return (
+            F.when(~host_in(url, ["youtube.com", "youtu.be"]), None)
+            .when(host.isin("youtu.be", "www.youtu.be"), F.btrim(path, F.lit("/")))
+            .when(F.rtrim(path, F.lit("/")) == "/watch", first_value(query_of(url), "v"))
+            .otherwise(F.regexp_extract(path, VIDEO_PATH, 1))
+        )
+
+    return let(url, lambda u: let(found(u), lambda vid: F.when(vid.rlike(VIDEO_ID), vid)))
 
 
 def is_youtube(url: Column) -> Column:
@@ -144,26 +154,35 @@ def canonical_url(raw: Column, source: Column | None = None, feed_url: Column |
     origins: a source's real origin, for feeds that publish links on a development host; else the feed's own
     origin serves.  Without either the link is left alone.
     """
-    url = normalize_url(raw)
-    for old, new in HOST_ALIASES.items():
-        url = F.when(host_of(url) == old, F.regexp_replace(url, r"\A([^:]*://)[^/?#]*", f"$1{new}")).otherwise(url)
     source = F.lit("") if source is None else F.coalesce(source, F.lit(""))
     feed = F.lit("") if feed_url is None else F.coalesce(feed_url, F.lit(""))
-    own = F.when(
-        scheme(feed).isin("http", "https") & (part(feed, 3) != "") & ~part(feed, 3).rlike(DEV_ORIGIN), F.concat(scheme(feed), F.lit("://"), part(feed, 3))
-    )
     table = F.create_map(*[F.lit(x) for kv in (origins or {}).items() for x in kv]) if origins else F.create_map().cast("map<string,string>")
-    origin = F.coalesce(F.try_element_at(table, F.lower(strip(source))), own)
-    moved = F.rtrim(F.concat(F.rtrim(origin, F.lit("/")), F.regexp_replace(url, r"\A[^:]*://[^/?#]*", "")), F.lit("/"))
-    tail = F.when(F.rtrim(path_of(url), F.lit("/")) == "/watch", F.concat(F.lit("?v="), youtube_video_id(url))).otherwise("")
-    video = F.concat(F.regexp_extract(url, r"\A([^?#]*)", 1), tail)
-    return (
-        F.when((host_of(url) != "") & host_of(url).rlike(DEV_ORIGIN), F.coalesce(moved, url))
-        .when(url.rlike(AUTHOR_PAGE), F.regexp_replace(url, AUTHOR_PAGE, "$1/article/$2$3"))
-        .when(url.rlike(ISSUE), F.concat(F.lit(ISSUE_HOME), F.regexp_extract(url, ISSUE, 1).try_cast("int").cast("string")))
-        .when(is_youtube(url), video)
-        .otherwise(url)
-    )
+
+    def unaliased(url: Column) -> Column:
+        for old, new in HOST_ALIASES.items():
+            url = F.when(host_of(url) == old, F.regexp_replace(url, r"\A([^:]*://)[^/?#]*", f"$1{new}")).otherwise(url)
+        return url
+
+    def moved(url: Column) -> Column:
+        own = F.when(
+            scheme(feed).isin("http", "https") & (part(feed, 3) != "") & ~part(feed, 3).rlike(DEV_ORIGIN), F.concat(scheme(feed), F.lit("://"), part(feed, 3))
+        )
+        origin = F.coalesce(F.try_element_at(table, F.lower(strip(source))), own)
+        return F.rtrim(F.concat(F.rtrim(origin, F.lit("/")), F.regexp_replace(url, r"\A[^:]*://[^/?#]*", "")), F.lit("/"))
+
+    def spelled(url: Column) -> Column:
+        def video(vid: Column) -> Column:
+            tail = F.when(F.rtrim(path_of(url), F.lit("/")) == "/watch", F.concat(F.lit("?v="), vid)).otherwise("")
+            return F.when(vid.isNotNull(), F.concat(F.regexp_extract(url, r"\A([^?#]*)", 1), tail)).otherwise(url)
+
+        return (
+            F.when((host_of(url) != "") & host_of(url).rlike(DEV_ORIGIN), F.coalesce(moved(url), url))
+            .when(url.rlike(AUTHOR_PAGE), F.regexp_replace(url, AUTHOR_PAGE, "$1/article/$2$3"))
+            .when(url.rlike(ISSUE), F.concat(F.lit(ISSUE_HOME), F.regexp_extract(url, ISSUE, 1).try_cast("int").cast("string")))
+            .otherwise(let(youtube_video_id(url), video))
+        )
+
+    return let(normalize_url(raw), lambda n: let(unaliased(n), spelled))
 
 
 def make_id(category: Column, source: Column, title: Column, url: Column) -> Column:
