@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwick.llm import decontamination, language_id, sentencepiece_codec, simhash, suffix_dedup
-from loomwick.llm.common import materialise, table
+from loomwick.llm.common import materialise, released, table
 
 #: A document whose language is less sure than this is rejected.
 LEAST_SCORE = 0.1
@@ -34,6 +34,7 @@ def _rewritten(docs: DataFrame, columns: list[str], rewrite, extra: list[str]) -
     wide = docs.select(*columns, *extra)
     at = columns.index("text")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             given = [batch.column(k).to_pylist() for k in (at, *range(len(columns), batch.num_columns))]
@@ -50,6 +51,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     model = spark.sparkContext.broadcast(language_id.train(docs))
     at = docs.columns.index("text")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = language_id.Judge(model.value)
         for held in language_id.together(batches, at):

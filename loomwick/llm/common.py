@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +50,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(partition: Callable) -> Callable:
+    """A partition function that gives freed memory back at its end: workers are kept for later stages."""
+
+    @wraps(partition)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from partition(batches)
+        finally:
+            import ctypes
+
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another libc has nothing of the kind
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import table
+from loomwick.llm.common import released, table
 
 WINDOW, SAMPLE = 10, 8
 #: Text of the test items that one pass carries.
@@ -222,6 +222,7 @@ _SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 def _pass(items: list[tuple[str, str]], text_at: int, width: int):
     """Adds a block's finds to the last three columns: n_words, spans, items."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import held_out_by, table
+from loomwick.llm.common import held_out_by, released, table
 
 UNKNOWN = "und"
 TRAIN_ROWS, MAX_LANGS = 2000, 256
@@ -33,6 +33,8 @@ CLIP = 5.0
 SCRIPT_SHARE = 0.02
 #: Words a worker remembers; texts taken together.
 CACHE_WORDS, TOGETHER_BYTES = 100_000, 6 << 20
+#: Words whose n-grams are looked at in one step.
+PART_WORDS = 20_000
 #: First code points of scripts; a script reaches to the next entry.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -97,9 +99,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = words_of(text)
             if words:
                 total = sums.setdefault(lang, np.zeros(BUCKETS + len(NAMES), np.int64))
-                bucket, _, first = features(words)
-                total += np.bincount(bucket, minlength=len(total))
-                total += np.bincount(BUCKETS + script_of(first), weights=[len(w) for w in words], minlength=len(total)).astype(np.int64)
+                for a in range(0, len(words), PART_WORDS):
+                    part = words[a : a + PART_WORDS]
+                    bucket, _, first = features(part)
+                    total += np.bincount(bucket, minlength=len(total))
+                    total += np.bincount(BUCKETS + script_of(first), weights=[len(w) for w in part], minlength=len(total)).astype(np.int64)
     for lang, total in sums.items():
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])], ["lang", "bucket", "n"])
@@ -122,6 +126,8 @@ class Model:
         """For each word the bounded log odds of every language against the best."""
         import numpy as np
 
+        if len(words) > PART_WORDS:  # the n-grams of a part are held at once
+            return np.concatenate([self.scores(words[a : a + PART_WORDS]) for a in range(0, len(words), PART_WORDS)])
         bucket, owner, first = features(words)
         out = np.zeros((len(words), len(self.langs)), np.float32)
         for k in range(len(self.langs)):
@@ -264,6 +270,7 @@ def together(batches: Iterator[pa.RecordBatch], text_at: int, most: int = TOGETH
 
 
 def _predict(model, spans: bool):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(model.value)
         for held in together(batches, 2):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import table
+from loomwick.llm.common import released, table
 
 MARK = "▁"
 #: Below the lowest score of any piece: what an unspelled character costs.
@@ -236,6 +236,7 @@ def codec(path: str) -> Codec:
 
 
 def _encode(path: str, text_at: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
@@ -257,6 +258,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
 
 
 def _decode(path: str):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = codec(path)
         for batch in batches:
@@ -274,6 +276,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def _digest(path: str):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = codec(path)
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import materialise, table
+from loomwick.llm.common import materialise, released, table
 from loomwick.llm.components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -156,6 +156,7 @@ def _stars(radius: int, hot: int | None):
             [pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"]
         )
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import materialise, table
+from loomwick.llm.common import materialise, released, table
 
 LENGTH, GRAM = 200, 32
 #: Bytes of segments that one run-length index holds.
@@ -81,6 +81,7 @@ def anchors(t, length: int = LENGTH, gram: int = GRAM):
 
 
 def _segments(length: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         from xxhash import xxh3_64_intdigest as digest
@@ -255,6 +256,7 @@ def _index_shards(length: int, limit: int):
             names,
         )
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, fp, size, own, passing = [], [], None, 0, 0, False
         for batch in batches:
