@@ -84,9 +84,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated passages go from every text, in whole characters."""
-    found = suffix_dedup.repeats(docs)
+    found = suffix_dedup.repeats(docs).withColumnsRenamed({"doc_id": "__of", "th": "__key", "spans": "__spans"})
     keyed = docs.withColumns({"__th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), "__id": F.col("doc_id").cast("long")})
-    joined = keyed.join(found, F.col("__id").eqNullSafe(found["doc_id"]) & (F.col("__th") == found["th"]), "left").select(*[keyed[c] for c in docs.columns], F.col("spans").alias("__spans"))
+    joined = keyed.join(found, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__th") == F.col("__key")), "left").select(*docs.columns, "__spans")
 
     def rewrite(text, spans):
         if not spans:
@@ -100,9 +100,9 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: spans of test phrases go from every text."""
-    text_kept = docs.select(*docs.columns)
-    found = decontamination.scan(text_kept.withColumnsRenamed({c: f"d_{c}" for c in docs.columns if c != "text"}), table(spark, sf_dir, "benchmark"))
-    back = found.withColumnsRenamed({f"d_{c}": c for c in docs.columns if c != "text"}).withColumnRenamed("hit_spans", "__spans")
+    others = {c: f"__d_{c}" for c in docs.columns if c != "text"}
+    found = decontamination.scan(docs.withColumnsRenamed(others), table(spark, sf_dir, "benchmark"))
+    back = found.withColumnRenamed("hit_spans", "__spans").drop("n_words", "hit_items").withColumnsRenamed({v: k for k, v in others.items()})
 
     def rewrite(text, spans):
         return decontamination.without_spans(text, [(s["lo"], s["hi"]) for s in spans]) if spans else text
