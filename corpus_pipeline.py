@@ -100,14 +100,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: spans of test phrases go from every text."""
-    others = {c: f"__d_{c}" for c in docs.columns if c != "text"}
-    found = decontamination.scan(docs.withColumnsRenamed(others), table(spark, sf_dir, "benchmark"))
-    back = found.withColumnRenamed("hit_spans", "__spans").drop("n_words", "hit_items").withColumnsRenamed({v: k for k, v in others.items()})
-
-    def rewrite(text, spans):
-        return decontamination.without_spans(text, [(s["lo"], s["hi"]) for s in spans]) if spans else text
-
-    return _resized(_rewritten(back, docs.columns, rewrite, ["__spans"]))
+    return _resized(decontamination.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

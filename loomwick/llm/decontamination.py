@@ -19,7 +19,7 @@ result and an empty benchmark marks nothing; extra columns are kept by ``scan``
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import pyarrow as pa
@@ -219,8 +219,8 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
 
-def _pass(items: list[tuple[str, str]], text_at: int, width: int):
-    """Adds a block's finds to the last three columns: n_words, spans, items."""
+def _pass(items: list[tuple[str, str]], text_at: int, width: int, remove: bool):
+    """Adds a block's finds to the last three columns: n_words, spans, items; remove: cuts the text instead of giving them."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +241,13 @@ def _pass(items: list[tuple[str, str]], text_at: int, width: int):
                 at += b.num_rows
                 before = [[(s["lo"], s["hi"]) for s in x] for x in b.column(b.num_columns - 2).to_pylist()]
                 known = b.column(b.num_columns - 1).to_pylist()
-                s = [[{"lo": lo, "hi": hi} for lo, hi in union(x + y)] for x, y in zip(before, spans[sl], strict=True)]
+                merged = [union(x + y) for x, y in zip(before, spans[sl], strict=True)]
+                if remove:
+                    texts = [without_spans(t, m) if m else t for t, m in zip(b.column(text_at).to_pylist(), merged, strict=True)]
+                    cut = pa.array(texts, pa.string())
+                    yield pa.RecordBatch.from_arrays([cut if k == text_at else b.column(k) for k in range(b.num_columns - 3)], b.schema.names[:-3])
+                    continue
+                s = [[{"lo": lo, "hi": hi} for lo, hi in m] for m in merged]
                 i = [sorted({*x, *y}) for x, y in zip(known, found[sl], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[:-3], pa.array(n_words[sl], pa.int64()), pa.array(s, _SPANS), pa.array(i, pa.list_(pa.string()))], b.schema.names
@@ -260,17 +266,15 @@ def _pass(items: list[tuple[str, str]], text_at: int, width: int):
     return run
 
 
-def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The test items in blocks of about so many bytes; the driver holds one block."""
+def list_blocks(benchmark: DataFrame, block_bytes: int) -> list[Callable[[], list[tuple[str, str]]]]:
+    """The test items in blocks of about so many bytes, each read when it is called for."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).dropna()
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        yield [tuple(r) for r in rows.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()]
+    return [lambda k=k: [tuple(r) for r in rows.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()] for k in range(n)]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs with n_words, hit_spans (word numbers lo, hi) and hit_items; clashing columns are replaced."""
+def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, remove: bool) -> DataFrame:
     docs = docs.drop("n_words", "hit_spans", "hit_items").withColumn("text", F.col("text").cast("string"))
     out = docs.withColumns(
         {
@@ -279,11 +283,25 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes
             "hit_items": F.array().cast("array<string>"),
         }
     )
-    for items in blocks_of(benchmark, block_bytes):
-        out = out.mapInArrow(_pass(items, docs.columns.index("text"), width), out.schema)
+    blocks, at = list_blocks(benchmark, block_bytes), docs.columns.index("text")
+    for k, items in enumerate(blocks):
+        cut = remove and k == len(blocks) - 1
+        out = out.mapInArrow(_pass(items(), at, width, cut), docs.schema if cut else out.schema)
     return out
 
 
+def scan(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs with n_words, hit_spans (word numbers lo, hi) and hit_items; clashing columns are replaced."""
+    return _scanned(docs, benchmark, width, block_bytes, False)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs with the spans of hit words cut from the texts, from the first to the last word of each."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns) if c != "text"}
+    out = _scanned(docs.withColumnsRenamed(names), benchmark, width, block_bytes, True)
+    return out.withColumnsRenamed({v: k for k, v in names.items()})
+
+
 def digest(found: DataFrame) -> DataFrame:
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + (s["hi"] - s["lo"]).cast("long"))
     return found.select(

@@ -81,7 +81,8 @@ class Automaton:
                 queue.append(t)
             if children[s]:
                 goto[s, list(children[s])] = list(children[s].values())
-        self.goto, self.own = goto, own
+        self.goto = goto.astype(np.uint16) if n <= 1 << 16 else goto
+        self.own = own
         self.first = np.where(has, np.arange(n), self.link).astype(np.int32)
         self.ids = np.array([i for _, i, _ in pieces], np.int32)
         self.sizes = np.array([len(p) for p, _, _ in pieces], np.int32)
@@ -146,10 +147,10 @@ class Codec:
         best[0] = 0
         back = np.zeros((longest + 1, n), np.int32)
         step = np.ones((longest + 1, n), np.int32)
-        state = np.zeros(n, np.int32)
+        state = np.zeros(n, np.int64)
         for t, a in enumerate(active.tolist(), 1):
             byte = grid[t - 1, :a]
-            state = auto.goto[state[:a], auto.classes[byte]]
+            state = auto.goto[state[:a], auto.classes[byte]].astype(np.int64)
             kind = alone[t - 1, :a]
             odd = np.flatnonzero(kind)
             if len(odd):
@@ -204,6 +205,10 @@ class Codec:
             self.cache.update(zip(new[a:b], self._segment(new[a:b]), strict=True))
             a = b
 
+    def forget(self) -> None:
+        """Empties the memory of parts: other stages of a worker need the room."""
+        self.cache, self.older = {}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as native 32-bit integers."""
         if len(self.cache) >= CACHE_PARTS:
@@ -246,6 +251,7 @@ def _encode(path: str, text_at: int):
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], batch.schema.names)
+        worker.forget()
 
     return run
 
@@ -291,6 +297,7 @@ def _digest(path: str):
                 ],
                 ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256"],
             )
+        worker.forget()
 
     return run
 
