@@ -35,12 +35,12 @@ def route(
     )
 
 
-def settle(rows: DataFrame) -> DataFrame:
+def settle(rows: DataFrame, status_col: str = "status") -> DataFrame:
     """New summary of routed rows from (route, status, built): the text, a blank mark, the gone mark, or null to wait.
 
     built null: undecodable, tried again later; empty: nothing but boilerplate, which is final.
     """
-    built, status = F.col("built"), F.col("status")
+    built, status = F.col("built"), F.col(status_col)
     fetched = (
         F.when(status == "gone", GONE_SUMMARY).when(status.isin("blocked", "retry", "failed"), None).when(built == "", BLANK_SUMMARY).otherwise(built)
     )

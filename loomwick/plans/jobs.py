@@ -125,10 +125,10 @@ def summarize(items: DataFrame, transcripts: DataFrame, fetcher: Fetcher, cfg: C
     fetchable = routing.capped(routed.filter("route = 'fetch'"), cfg.max_items, "ord").select("id", "url")
     hosts = fetchable.repartition(pause_key(F.col("url"), rules.hosts("pause_domains"))) if rules.hosts("pause_domains") else fetchable
     pages = staged(hosts, [("page", page_stage(fetcher))])
-    texts = routed.join(fetchable.join(pages, "url").select("id", "body", "status"), "id", "left")
+    texts = routed.join(fetchable.join(pages, "url").select("id", "body", F.col("status").alias("fetch_status")), "id", "left")
     offline = F.when(F.col("route") == "douban", text.note_of_mark(F.col("feed_content"))).when(F.col("route") == "feed", F.col("feed_content")).otherwise(F.col("transcript"))
     built = F.when(F.col("route") == "fetch", F.coalesce("body", F.when(~text.blank(F.col("feed_content")), F.concat("feed_content", F.lit(FALLBACK_MARK)))))
-    settled = routing.settle(texts.withColumn("built", F.coalesce(built, F.when(F.col("route") != "fetch", F.coalesce(offline, F.lit(""))))))
+    settled = routing.settle(texts.withColumn("built", F.coalesce(built, F.when(F.col("route") != "fetch", F.coalesce(offline, F.lit(""))))), "fetch_status")
     new = written(settled.select("ord", *ITEM.names).filter("summary is not null"), "new")
     gated = qc.gate(new.filter(~text.blank(F.col("summary"))), items.filter(~text.blank(F.col("summary"))).select("ord", *ITEM.names))
     fresh = gated.select("id", F.col("summary").alias("fresh")).unionByName(new.filter(text.blank(F.col("summary"))).select("id", F.col("summary").alias("fresh")))

@@ -29,7 +29,7 @@ def test_collect(spark):
     assert raws.count() == 4 and [r.url for r in failed.collect()] == ["https://gone.org"]
     old = items(spark, [{"id": "0" * 40, "title": "old", "url": "https://o.org", "last_seen_at": "2020-01-01T00:00:00Z"}, {"id": "1" * 40, "title": "new", "url": "https://o.org/2", "last_seen_at": "2024-05-30T00:00:00Z"}])
     out = jobs.collect(old, feeds, fetcher, at("2024-06-01"))
-    assert {r.title for r in out.collect()} == {"new", "One", "Two", "Hello big world"}
+    assert {r.title for r in out.collect()} == {"new", "One", "Two", "quoted"}
     again = jobs.collect(out.drop("feed_content", "feed_images"), feeds, fetcher, at("2024-06-01"))
     assert {r.id for r in again.collect()} == {r.id for r in out.collect()}
 
