@@ -36,6 +36,8 @@ MARK = "▁"
 UNSPELLED = 10.0
 #: Parts a generation of a worker's memory holds; bytes of parts segmented at once.
 CACHE_PARTS, TOGETHER = 120_000, 1 << 19
+#: Rows of an output batch.
+OUT_ROWS = 128
 PART = re.compile(r" *[^ ]+| +")
 _workers: dict[str, Codec] = {}
 
@@ -248,9 +250,11 @@ def _encode(path: str, text_at: int):
         worker = codec(path)
         for batch in batches:
             ids = worker.encode(batch.column(text_at).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], batch.schema.names)
+            for a in range(0, len(ids), OUT_ROWS):  # lists are as long as texts: hand on few at a time
+                part = ids[a : a + OUT_ROWS]
+                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in part])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(part), np.int32)))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, OUT_ROWS).columns[:-1], lists], batch.schema.names)
         worker.forget()
 
     return run
