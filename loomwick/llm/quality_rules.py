@@ -13,6 +13,7 @@ their own; rows are judged one by one, repeated rows alike; an empty table gives
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,9 +25,15 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 #: measure -> (floor, ceiling) in thousandths; what stays below the floor never fails, above the ceiling always
-LIMITS = {"symbol_share": (60, 200), "dup_line_share": (200, 600), "repeat_share": (100, 300), "upper_share": (300, 600)}
+LIMITS = {
+    "symbol_share": (60, 200),
+    "dup_line_share": (350, 600),
+    "repeat_share": (200, 300),
+    "upper_share": (300, 600),
+    "stutter_share": (200, 500),
+}
 LOW, MIDDLE, SPREAD = 0.10, 0.50, 4
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_alpha"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_alpha", "n_stutter"]
 CHUNK = 1 << 20
 
 
@@ -49,7 +56,8 @@ def text_counts(raw: bytes) -> tuple[int, ...]:
                 dup += 1
             else:
                 seen.add(line)
-    return len(words), chars, symbols, dup, repeated_words(words), lines, upper, upper + int(hist[97:123].sum())
+    stutter = sum(map(eq, words, words[1:]))  # words that repeat the one before
+    return len(words), chars, symbols, dup, repeated_words(words), lines, upper, upper + int(hist[97:123].sum()), stutter
 
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
@@ -102,6 +110,7 @@ def measure(docs: DataFrame) -> DataFrame:
         .withColumn("dup_line_share", share("n_dup_lines", "n_lines"))
         .withColumn("repeat_share", share("n_repeat_words", "n_words"))
         .withColumn("upper_share", share("n_upper", "n_alpha"))
+        .withColumn("stutter_share", share("n_stutter", "n_words"))
     )
 
 

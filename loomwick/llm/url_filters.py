@@ -34,7 +34,7 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 DEFAULT = "allow"
-#: Sampled keys for each range, and the highest number of ranges: together they bound what the driver gets.
+#: Sampled keys for each range (on average), and the highest number of ranges: together they bound what the driver gets.
 SAMPLES, MOST_RANGES = 20, 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Sorts after every key that begins alike: host keys are followed by "\x01" and a hash, or by more labels.
@@ -104,8 +104,9 @@ def _deal(cuts: list[str], schema: pa.Schema):
 
 def cut_points(urls: DataFrame, ranges: int) -> list[str]:
     """Keys that cut the urls into about so many ranges of like size, from a bounded sample."""
-    keys = [r[0] for r in urls.select("key", F.rand(17).alias("r")).orderBy("r").limit(ranges * SAMPLES).collect()]
-    keys.sort()
+    n = urls.count()
+    share = min(1.0, ranges * SAMPLES / max(n, 1))
+    keys = sorted(r[0] for r in urls.select("key").sample(share, 17).collect())
     return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
 
 
