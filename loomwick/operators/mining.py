@@ -25,9 +25,11 @@ def mine_boilerplate(items: DataFrame, least: int, text: str = "summary", ruled:
         rows = rows.filter(~F.col("sentence").rlike(ruled))
     each = rows.groupBy("sentence", "source").agg(F.count(F.lit(1)).alias("n"))
     total = each.groupBy("sentence").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sources")).filter(F.col("n") >= least)
-    kind = F.when(F.col("sources") >= 2, "shared").otherwise("single")
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), F.desc("sentence")))
-    return total.withColumn("kind", kind).withColumn("rank", rank).filter(F.col("rank") <= top)
+    found = total.withColumn("kind", F.when(F.col("sources") >= 2, "shared").otherwise("single"))
+    order = [F.desc("n"), F.desc("sentence")]
+    # a bounded top of each class first, so that only those few rows are numbered in one place
+    tops = [found.filter(F.col("kind") == k).orderBy(*order).limit(top) for k in ("shared", "single")]
+    return tops[0].unionByName(tops[1]).withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(*order)))
 
 
 def most_common(rows: DataFrame, column: str, n: int = 5) -> DataFrame:
