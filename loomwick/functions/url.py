@@ -24,7 +24,7 @@ EPISODE = (
     r"(?i)\A(?:https?://(?:www\.)?xiaoyuzhoufm\.com/episode/[0-9a-f]{16,32}"
     r"|https?://open\.firstory\.(?:fm|me)/story/[0-9a-z]{16,40})"
 )
-AUDIO = r"(?i)\Ahttps?://[^?#]*\.(?:mp3|m4a|aac|ogg|opus|wav|flac)(?:[?#].*)?\z"
+AUDIO = r"(?i)\Ahttps?://[^?#]*\.(?:mp3|m4a|aac)(?:[?#].*)?\z"
 
 #: scheme, "//" + authority, authority, path, "?" + query, query, "#" + fragment
 PARTS = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*):(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#.*)?\z"
