@@ -31,8 +31,8 @@ from loomwick.llm.common import released, table
 WINDOW, SAMPLE = 10, 8
 #: Text of the test items that one pass carries.
 BLOCK_BYTES = 8 << 20
-#: A shard ends at so many bytes of text or words in its index.
-SHARD_TEXT, SHARD_WORDS = 24 << 20, 1 << 20
+#: A shard ends at so many bytes of text: about a million words if all are test words.
+SHARD_TEXT = 6 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _KEEP = {*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if b in _KEEP else 0x20 for b in range(256))
@@ -253,11 +253,11 @@ def _pass(items: list[tuple[str, str]], text_at: int, width: int, remove: bool):
                     [*b.columns[:-3], pa.array(n_words[sl], pa.int64()), pa.array(s, _SPANS), pa.array(i, pa.list_(pa.string()))], b.schema.names
                 )
 
-        held, size, words = [], 0, 0
+        held, size = [], 0
         for batch in batches:
             held.append(batch)
             size += batch.column(text_at).nbytes
-            if size >= SHARD_TEXT or size // 6 >= 4 * SHARD_WORDS:
+            if size >= SHARD_TEXT:
                 yield from shard(held)
                 held, size = [], 0
         if held:

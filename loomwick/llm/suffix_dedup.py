@@ -346,8 +346,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
     mixed = variants.groupBy("fp").agg(F.count(F.lit(1)).alias("nv"), F.min("n").alias("least")).filter("nv > 1 and least = 1").select("fp")
     wanted = variants.join(mixed, "fp").select("fp", "n", "rep.*")
     lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "start", "nwin", "n")).alias("wants"))
-    pick = texts
-    fetched = pick.join(lists, _same(pick, lists)).select(pick["doc_id"], pick["th"], "raw", "wants")
+    fetched = texts.join(lists, _same(texts, lists)).select(texts["doc_id"], texts["th"], "raw", "wants")
     cut = fetched.mapInArrow(_cut(length), "fp long, doc_id long, th long, start long, n long, bytes binary")
     dealt = cut.repartition("fp").sortWithinPartitions("fp", "doc_id", "th", "start")
     found = dealt.mapInArrow(
