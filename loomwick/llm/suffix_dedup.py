@@ -35,7 +35,7 @@ from loomwick.llm.common import materialise, released, table
 
 LENGTH, GRAM = 200, 32
 #: Bytes of segments that one run-length index holds.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Windows handled at once in a long text; positions inside fit the low bits of a gram's rank.
 CHUNK, LOW_BITS = 1 << 19, 20
 SEG = "doc_id long, th long, start long, nwin int, fp long, sh long, n long, known boolean"
