@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from loomwick.llm.common import scratch, table, texts
 
 #: Pieces in a generation of a worker's memory; a full one is kept as the older until the next is full.
-CACHE_PIECES = 450_000
+CACHE_PIECES = 550_000
 #: Code points below this have letter and number classes that no Unicode version changes.
 SAFE_LIMIT = 0x500
 ROW_GROUP_BYTES = 32 << 20
@@ -67,14 +67,13 @@ class PieceEncoder:
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _learn(self, pieces: list[str]) -> None:
-        for piece in pieces:
-            if piece not in self.cache:
-                known = self.older.get(piece)
-                if known is None:
-                    mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-                    known = array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-                self.cache[piece] = known
+    def _learn(self, piece: str) -> bytes:
+        known = self.older.get(piece)
+        if known is None:
+            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+            known = array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        self.cache[piece] = known
+        return known
 
     def encode(self, text: str) -> bytes:
         """The ids as native 32-bit integers, one after another."""
@@ -82,10 +81,8 @@ class PieceEncoder:
             return array("i", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         if len(self.cache) >= CACHE_PIECES:
             self.cache, self.older = {}, self.cache
-        pieces, cache = self.split(text), self.cache
-        if missing := [piece for piece in pieces if piece not in cache]:
-            self._learn(missing)
-        return b"".join(map(cache.__getitem__, pieces))
+        pieces, get, learn = self.split(text), self.cache.get, self._learn
+        return b"".join([get(piece) or learn(piece) for piece in pieces])
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -127,8 +124,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     """Encode every text and write the set to ``path`` (any store Spark writes)."""
     ordered = (
         texts(docs)
+        .repartitionByRange("doc_id")  # an id is one document: ranges are cut without reading texts
         .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )
