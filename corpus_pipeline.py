@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm import decontamination, language_id, sentencepiece_codec, simhash, suffix_dedup
+from loomwick.llm import decontamination, language_id, near_copies, sentencepiece_codec, suffix_dedup
 from loomwick.llm.common import materialise, released, table
 
 #: A document whose language is less sure than this is rejected.
@@ -66,16 +66,18 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each component the document with the smallest id stays.
+    """SimHash near-dedup: of each component of near copies the document with the smallest id stays.
 
-    Documents without an id count after all others, by a hash of the text.
+    Near copies have a similarity of 0.8 or more by five-word shingles, compared exactly; the radius of 4 bits and the
+    four-word shingles of op9 bind op9 alone.  Documents without an id count after all others, by a hash of the text.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     unnamed = F.shiftrightunsigned(F.xxhash64(text), 1).bitwiseOR(F.lit(1 << 62))
     named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), unnamed), "__th": F.xxhash64(text)})
-    found = simhash.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text"))
-    stay = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("th").alias("th"))
-    stay = materialise(stay.join(found.select("doc_id", "th"), ["doc_id", "th"]).groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")), "stay")
+    found = near_copies.near_copies(named.select(F.col("__id").alias("doc_id"), "text"))
+    rows = found.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    stay = rows.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("x"))
+    stay = materialise(stay.select("x.*"), "stay")
     kept = named.join(stay.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")), ["__id", "__th"], "left_semi")
     if stay.filter("n > 1").take(1):  # the same row more than once
         kept = kept.dropDuplicates(["__id", "__th"])
