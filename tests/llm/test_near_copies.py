@@ -100,3 +100,11 @@ def test_whole_run_with_exact_similarities(spark, folder, monkeypatch):
     monkeypatch.setattr(test_pipeline, "slow_fingerprint", lambda t: t)
     monkeypatch.setattr(test_pipeline, "slow_components", components)
     test_pipeline.test_run_equals_plain_code(spark, folder)
+
+
+def test_one_id_on_texts_of_two_components(spark):
+    one, two = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(5, one), (5, two), (6, one + " end"), (7, two + " end"), (5, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.keep_one_of_near_copies(spark, df, "").collect()
+    assert sorted(map(tuple, got)) == [(5, one), (5, two)]
