@@ -106,8 +106,11 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece: ids of every text, which decode to the text exactly."""
-    return sentencepiece_codec.encode(docs, sentencepiece_codec.default_model()).withColumn("n_tokens", F.size("ids").cast("long"))
+    """SentencePiece: ids of every text, their number, and the sha256 of the text that the ids decode to."""
+    model = sentencepiece_codec.default_model()
+    encoded = sentencepiece_codec.encode(docs.withColumnRenamed("decoded", "__decoded"), model)
+    back = sentencepiece_codec.decode(encoded, model).withColumns({"n_tokens": F.size("ids").cast("long"), "decoded_sha256": F.sha2("decoded", 256)})
+    return back.drop("decoded").withColumnRenamed("__decoded", "decoded")
 
 
 STAGES = [
