@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from loomwick.llm import decontamination, language_id, near_copies, sentencepiece_codec, suffix_dedup
 from loomwick.llm.common import materialise, released, table
 
-#: A document whose language is less sure than this is rejected.
+#: A document whose language is less sure than this is rejected.  Scores are relative to the best learned language, so
+#: undecided text still scores about 1/k for k languages: with fewer than ten, only texts without letters fall below.
 LEAST_SCORE = 0.1
 
 
@@ -46,7 +47,11 @@ def _rewritten(docs: DataFrame, columns: list[str], rewrite, extra: list[str]) -
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents of no language, or of one too unsure, go."""
+    """Language ID: documents without letters go.
+
+    They have no language.  A text in a language or script that was not learned stays, as the score compares learned
+    languages only.
+    """
     docs = docs.withColumn("text", F.col("text").cast("string"))
     model = spark.sparkContext.broadcast(language_id.train(docs))
     at = docs.columns.index("text")
