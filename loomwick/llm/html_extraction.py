@@ -38,7 +38,11 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template noscript iframe noframes noembed xmp svg math select object".split())
+RAW = frozenset("script style title textarea template noscript iframe noframes noembed xmp".split())
+#: Elements of drawings and formulas: there "/>" closes any element, and the start of a block ends them.
+FOREIGN = frozenset(("svg", "math"))
+FOREIGN_HOLDS_BLOCKS = frozenset(("foreignobject", "annotation-xml", "desc", "mtext"))
+CHOICES = frozenset(("select", "optgroup", "option"))
 BAD_TAGS = frozenset("nav footer aside form fieldset menu dialog button label input option legend".split())
 GOOD_TAGS = frozenset(("article", "main"))
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
@@ -129,6 +133,8 @@ class Blocks:
             name = m[2].lower()
             if m[1]:
                 self._close(name)
+            elif m[3].endswith("/") and (name in FOREIGN or self._in_foreign()):
+                continue
             elif name in RAW:
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(html, at)
                 if end is None:
@@ -138,6 +144,15 @@ class Blocks:
             else:
                 self._start(name, m[3])
 
+    def _in_foreign(self) -> int:
+        """The number of the open drawing or formula that a block would end, 0 if there is none."""
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k][0] in FOREIGN:
+                return k
+            if self.open[k][0] in BLOCKS or self.open[k][0] in FOREIGN_HOLDS_BLOCKS:
+                return 0
+        return 0
+
     def _start(self, name: str, attributes: str) -> None:
         if name == "br":
             self.text.append("\n")
@@ -147,6 +162,13 @@ class Blocks:
             while len(self.open) > 1 and self.open[-1][0] == "head":
                 self.open.pop()
         block = name in BLOCKS
+        if block and name not in CHOICES:
+            ended = self._in_foreign() or len(self.open)
+            while ended > 1 and self.open[ended - 1][0] in CHOICES:
+                ended -= 1
+            if ended < len(self.open):
+                self._flush()
+                del self.open[ended:]
         if block and self.open[-1][0] == "p" and name != "p":
             self._flush()
             self.open.pop()
