@@ -3,7 +3,8 @@
 A page is cut into blocks at block-level tags.  First pass, each block alone: blocks inside menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments (by element, role, or the words of class and id)
 and blocks of mostly link text are boilerplate; long blocks rich in stop words are content; the rest is
-ambiguous.  Second pass: an ambiguous block takes the label of its nearest decided neighbours; the edges of an
+ambiguous.  Stop words are those of English, French, German and Spanish: on pages in other languages long blocks
+are content without them.  Second pass: an ambiguous block takes the label of its nearest decided neighbours; the edges of an
 article or main element count as decided content.  Content blocks are joined in page order.
 
 The page is scanned once; attributes are read only where a tag has some.  Defined cases: a null or empty page, or
@@ -57,6 +58,8 @@ ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`
 PARTS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 LETTERS = re.compile(r"[^\W\d_]+")
+LAST_LATIN = "\u024f"
+WIDE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\U00020000-\U0003ffff]")
 
 
 def marks_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
@@ -210,23 +213,52 @@ class Blocks:
                 return
 
 
-def label(text: str, linked: int, bad: bool, article: int) -> bool | None:
-    """First pass: True for content, False for boilerplate, None if ambiguous."""
+def stop_share(text: str) -> float:
+    words = LETTERS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def listed(text: str) -> bool:
+    """Whether the text may be in a language of STOP_WORDS, by its script."""
+    letters = [w[0] for w in LETTERS.findall(text)]
+    return 2 * sum(c > LAST_LATIN for c in letters) <= len(letters)
+
+
+def width(text: str) -> int:
+    """Characters, those of scripts that write words without spaces counted three times."""
+    return len(text) + 2 * len(WIDE.findall(text))
+
+
+def label(text: str, linked: int, bad: bool, article: int, known: bool = True) -> bool | None:
+    """First pass: True for content, False for boilerplate, None if ambiguous.
+
+    Where the page's language is not known, missing stop words say nothing: there long blocks are content.
+    """
     density = linked / len(text)
     if bad or density > (LINKS_IN_ARTICLE if article else LINKS_MOST):
         return False
-    words = LETTERS.findall(text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    stop = stop_share(text)
     if len(text) >= SHORT and stop >= (STOP_LOW if len(text) >= LONG else STOP_HIGH):
         return True
-    if not article and len(text) >= LONG and stop < STOP_LOW / 3:
-        return False
+    if not article and stop < STOP_LOW / 3:
+        if not known or not listed(text):
+            return True if width(text) >= LONG else None
+        if len(text) >= LONG:
+            return False
     return None
 
 
+def known_language(blocks: list[tuple[str, int, bool, int]]) -> bool:
+    """Whether the blocks that markup and links leave have the stop words of a listed language."""
+    left = [text for text, linked, bad, _ in blocks if not bad and linked <= LINKS_MOST * len(text)]
+    total = sum(map(len, left))
+    return not total or sum(len(t) * stop_share(t) for t in left) >= STOP_LOW * total
+
+
 def extract(html: str | None) -> str:
     blocks = Blocks(html or "").found
-    labels = [label(*b) for b in blocks]
+    known = known_language(blocks)
+    labels = [label(*b, known) for b in blocks]
     before: list[tuple[bool, int] | None] = []
     for way in (1, -1):
         seen, last, article = [], None, 0
@@ -239,11 +271,13 @@ def extract(html: str | None) -> str:
             seen.append(last)
         before.append(seen[::way])
     out, plain = [], not any(b[3] for b in blocks) and all(x is None for x in labels)
+    # without known stop words and long blocks nothing speaks for content: then markup and links alone decide
+    open_ = not known and not any(b[3] for b in blocks) and True not in labels
     for k, (text, _, _, _) in enumerate(blocks):
         if labels[k] is None:
             near = [x for x in (before[0][k], before[1][k]) if x is not None]
             # the nearer decides, content at equal distance; a page with nothing decided is taken as it is
-            good = max(near, key=lambda x: (-abs(x[1] - k), x[0]))[0] if near else plain
+            good = open_ or (max(near, key=lambda x: (-abs(x[1] - k), x[0]))[0] if near else plain)
         else:
             good = labels[k]
         if good:
