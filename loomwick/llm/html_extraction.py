@@ -229,7 +229,7 @@ def width(text: str) -> int:
     return len(text) + 2 * len(WIDE.findall(text))
 
 
-def label(text: str, linked: int, bad: bool, article: int, known: bool = True) -> bool | None:
+def label(text: str, linked: int, bad: bool, article: int, stop: float, known: bool = True) -> bool | None:
     """First pass: True for content, False for boilerplate, None if ambiguous.
 
     Where the page's language is not known, missing stop words say nothing: there long blocks are content.
@@ -237,7 +237,6 @@ def label(text: str, linked: int, bad: bool, article: int, known: bool = True) -
     density = linked / len(text)
     if bad or density > (LINKS_IN_ARTICLE if article else LINKS_MOST):
         return False
-    stop = stop_share(text)
     if len(text) >= SHORT and stop >= (STOP_LOW if len(text) >= LONG else STOP_HIGH):
         return True
     if not article and stop < STOP_LOW / 3:
@@ -248,17 +247,17 @@ def label(text: str, linked: int, bad: bool, article: int, known: bool = True) -
     return None
 
 
-def known_language(blocks: list[tuple[str, int, bool, int]]) -> bool:
+def known_language(blocks: list[tuple[str, int, bool, int]], stops: list[float]) -> bool:
     """Whether the blocks that markup and links leave have the stop words of a listed language."""
-    left = [text for text, linked, bad, _ in blocks if not bad and linked <= LINKS_MOST * len(text)]
-    total = sum(map(len, left))
-    return not total or sum(len(t) * stop_share(t) for t in left) >= STOP_LOW * total
+    left = [(len(text), stop) for (text, linked, bad, _), stop in zip(blocks, stops, strict=True) if not bad and linked <= LINKS_MOST * len(text)]
+    return sum(n * stop for n, stop in left) >= STOP_LOW * sum(n for n, _ in left)
 
 
 def extract(html: str | None) -> str:
     blocks = Blocks(html or "").found
-    known = known_language(blocks)
-    labels = [label(*b, known) for b in blocks]
+    stops = [0.0 if bad else stop_share(text) for text, _, bad, _ in blocks]
+    known = known_language(blocks, stops)
+    labels = [label(*b, stop, known) for b, stop in zip(blocks, stops, strict=True)]
     before: list[tuple[bool, int] | None] = []
     for way in (1, -1):
         seen, last, article = [], None, 0
