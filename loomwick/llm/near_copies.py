@@ -3,8 +3,8 @@
 SimHash fingerprints of such texts differ in about 10 of 64 bits (standard deviation 3), too many for block keys or
 BK-trees.  So shards are keyed by MinHash bands: a pair of similarity 0.8 shares none of the ``BANDS`` bands with a
 probability of 5 in a million, a pair of higher similarity with a lower one.  Within a shard, pairs whose sizes
-exclude the similarity, or whose fingerprints differ in more than ``RADIUS`` bits (5 standard deviations), are left
-out; all others are compared exactly, by their texts.
+exclude the similarity, or whose fingerprints differ in more than ``RADIUS`` bits (5 standard deviations, about 4
+for texts of a few shingles: some in 100,000 of their pairs), are left out; all others are compared exactly, by their texts.
 
 A shard first compares its members with one centre, then those not yet linked to it with another centre, and last
 every pair of members that is still in different components.  So every pair that shares a shard is either linked
