@@ -75,6 +75,24 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: A key is heavy if it has more than one in so many of a table's rows; so at most so many keys are.
+HEAVY_PARTS = 1000
+
+
+def spread_join(big: DataFrame, small: DataFrame, on: list[str], rows: int, how: str = "inner") -> DataFrame:
+    """big joined with small, so that no key is one task's work.
+
+    small has one row for each key ``on``, and ``n``, the key's rows in big; rows: all rows of big.  Heavy keys, of which
+    there are at most ``HEAVY_PARTS``, are broadcast; all others have a thousandth of big's rows at most.  how: inner or left.
+    """
+    heavy = small.filter(F.col("n") * HEAVY_PARTS > rows).drop("n")
+    light = small.filter(F.col("n") * HEAVY_PARTS <= rows).drop("n")
+    marked = big.join(F.broadcast(heavy.withColumn("heavy_key", F.lit(True))), on, "left")
+    found = marked.filter("heavy_key").drop("heavy_key")
+    rest = marked.filter("heavy_key is null").select(*big.columns).join(light, on, how)
+    return found.unionByName(rest)
+
+
 def whole_text(text: str = "text") -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))

@@ -5,25 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import materialise
+from loomwick.llm.common import materialise, spread_join
 
 MAX_ROUNDS = 60
 
 
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+def _with_least(edges: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """edges with m, the least of u and its neighbours; and these (u, m) alone.  A centre of many edges is spread over tasks."""
+    least = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return spread_join(edges, least, ["u"], rows), least.select("u", "m")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _least_neighbour(both)
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    led, _ = _with_least(both, 2 * rows)
+    return led.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     # every edge already runs from its larger end u to its smaller end v
-    least = _least_neighbour(edges)
-    moved = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    led, least = _with_least(edges, rows)
+    moved = led.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -34,10 +36,12 @@ def components(links: DataFrame) -> DataFrame:
     A round with no change in the set of edges (by count and hash sum) is the last.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = materialise(edges, "edges"), None
+    edges = materialise(edges, "edges")
+    state = lambda: tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    before = state()
     for _ in range(MAX_ROUNDS):
-        edges = materialise(_small_star(_large_star(edges)), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        edges = materialise(_small_star(_large_star(edges, before[0]), before[0]), "edges")
+        now = state()
         if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now

@@ -103,19 +103,17 @@ class Forest:
         self.children = np.argsort(parent * 128 + edge, kind="stable")
         self.keys = (parent * 128 + edge)[self.children]
 
-    def stars(self, radius: int):
-        """The smallest index of each value's component, by links within the radius."""
+    def near(self, radius: int):
+        """Arrays q, node of all pairs q > node within the radius, some at a time: only edges within the radius are followed."""
         import numpy as np
 
-        n = len(self.values)
-        label = np.arange(n)
-        queries = np.flatnonzero(np.bincount(self.root, minlength=n)[self.root] > 1)
+        queries = np.flatnonzero(np.bincount(self.root, minlength=len(self.values))[self.root] > 1)
         stack = [(queries[a : a + SLICE], self.root[queries[a : a + SLICE]]) for a in range(0, len(queries), SLICE)]
         while stack:
             q, node = stack.pop()
             d = np.bitwise_count(self.values[q] ^ self.values[node]).astype(np.int64)
             hit = (d <= radius) & (q > node)
-            self._unite(label, q[hit], node[hit])
+            yield q[hit], node[hit]
             lo = np.searchsorted(self.keys, node * 128 + np.maximum(d - radius, 1))
             n_kids = np.searchsorted(self.keys, node * 128 + d + radius, side="right") - lo
             ends = np.cumsum(n_kids)
@@ -126,6 +124,14 @@ class Forest:
                 inner = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
                 stack.append((np.repeat(q[a:b], k), self.children[np.repeat(lo[a:b], k) + inner]))
                 at, a = int(ends[b - 1]), b
+
+    def stars(self, radius: int):
+        """The smallest index of each value's component, by links within the radius."""
+        import numpy as np
+
+        label = np.arange(len(self.values))
+        for q, node in self.near(radius):
+            self._unite(label, q, node)
         return label
 
     @staticmethod

@@ -2,24 +2,13 @@
 
 import random
 
-import test_pipeline
-from test_pipeline import folder  # noqa: F401
+from test_pipeline import grams, similarity
 
 import corpus_pipeline
 from loomwick.llm import near_copies as op
 from loomwick.llm import simhash
 
 
-def grams(text):
-    w = (text or "").lower().split()
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-
-
-def similarity(a, b):
-    a, b = grams(a), grams(b)
-    return len(a & b) / len(a | b)
-
-
 def changed(rnd, words, n):
     words = list(words)
     for k in rnd.sample(range(len(words)), n):
@@ -70,38 +59,29 @@ def test_stage_equals_all_pairs(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_blocks_lose_no_link(spark, monkeypatch):
+    """Shards cut into blocks of a few members give the components of all pairs."""
+    monkeypatch.setattr(op, "BLOCK_MEMBERS", 5)
+    monkeypatch.setattr(op, "SEARCH_MEMBERS", 12)
+    rnd = random.Random(6)
+    base = [f"y{rnd.randrange(400)}" for _ in range(160)]
+    rows = [(k, " ".join(changed(rnd, base, rnd.randint(1, 9)))) for k in range(70)]
+    want = kept_by_all_pairs(rows)
+    assert 1 < len(want) < 70
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [r.doc_id for r in corpus_pipeline.keep_one_of_near_copies(spark, df, "").collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_similarity_is_exact():
     words = [f"w{k}" for k in range(13)]
     nine = op.shingles(" ".join(words).encode())
     assert len(nine) == 9
     assert op.similar(nine, nine[:8]) and not op.similar(nine, nine[:7])
+    assert op.similar_to(nine, [nine[:8], nine[:7], nine]) == [True, False, True]
     assert op.similar(nine[:5], nine[:4]) and not op.similar(nine[:4], nine[1:5])
 
 
-def test_whole_run_with_exact_similarities(spark, folder, monkeypatch):
-    """The run against plain code, with near copies by similarity in place of fingerprints."""
-
-    def components(rows):
-        kept = {}
-        for i, t in rows:
-            kept.setdefault(t, []).append(i)
-        out, left = {}, set(kept)
-        while left:
-            todo, group = [left.pop()], []
-            while todo:
-                a = todo.pop()
-                group.append(a)
-                near = [b for b in left if similarity(a, b) >= 0.8]
-                left -= set(near)
-                todo += near
-            out |= dict.fromkeys(group, min(i for t in group for i in kept[t]))
-        return out
-
-    monkeypatch.setattr(test_pipeline, "slow_fingerprint", lambda t: t)
-    monkeypatch.setattr(test_pipeline, "slow_components", components)
-    test_pipeline.test_run_equals_plain_code(spark, folder)
-
-
 def test_one_id_on_texts_of_two_components(spark):
     one, two = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
     rows = [(5, one), (5, two), (6, one + " end"), (7, two + " end"), (5, one)]
