@@ -39,17 +39,41 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+#: Folders made in this process, the latest last.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/loomwick-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/loomwick-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def made_here() -> Iterator[list[str]]:
+    """The folders that are made inside the block, in order, once it is left."""
+    first, paths = len(_made), []
+    yield paths
+    paths += _made[first:]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage, survives lost executors."""
+    """Write df to the shared folder and read it again: cuts lineage, survives lost executors.
+
+    The folder goes when the driver ends, or before by ``drop_path``.
+    """
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    gone_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gone_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder that exists when the driver's JVM ends: rows that are read later still find it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def released(partition: Callable) -> Callable:
     """A partition function that gives freed memory back at its end: workers are kept for later stages."""
 
@@ -71,22 +95,24 @@ def released(partition: Callable) -> Callable:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store."""
+    if path in _made:
+        _made.remove(path)
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: A key is heavy if it has more than one in so many of a table's rows; so at most so many keys are.
-HEAVY_PARTS = 1000
+#: A key is heavy if it has more than one in so many of a table's rows, so at most so many keys are, and more than this.
+HEAVY_PARTS, HEAVY_ROWS = 1000, 200
 
 
 def spread_join(big: DataFrame, small: DataFrame, on: list[str], rows: int, how: str = "inner") -> DataFrame:
     """big joined with small, so that no key is one task's work.
 
     small has one row for each key ``on``, and ``n``, the key's rows in big; rows: all rows of big.  Heavy keys, of which
-    there are at most ``HEAVY_PARTS``, are broadcast; all others have a thousandth of big's rows at most.  how: inner or left.
+    there are at most ``HEAVY_PARTS``, are broadcast; all others have a thousandth of big's rows, or a few hundred.  how: inner or left.
     """
-    heavy = small.filter(F.col("n") * HEAVY_PARTS > rows).drop("n")
-    light = small.filter(F.col("n") * HEAVY_PARTS <= rows).drop("n")
+    most = max(HEAVY_ROWS, rows // HEAVY_PARTS)
+    heavy, light = small.filter(F.col("n") > most).drop("n"), small.filter(F.col("n") <= most).drop("n")
     marked = big.join(F.broadcast(heavy.withColumn("heavy_key", F.lit(True))), on, "left")
     found = marked.filter("heavy_key").drop("heavy_key")
     rest = marked.filter("heavy_key is null").select(*big.columns).join(light, on, how)

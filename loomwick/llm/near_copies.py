@@ -303,8 +303,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     total = shared.agg(F.sum("n")).first()[0] or 0
     members = materialise(spread_join(dealt, shared, ["key"], total), "members")
     text = docs.select(F.xxhash64(whole_text()).alias("th"), whole_text().cast("binary").alias("text"))
-    involved = members.select(F.col("m.th").alias("th")).distinct()
-    held = materialise(text.join(involved, "th", "left_semi").dropDuplicates(["th"]), "held")
+    involved = members.select(F.col("m.th").alias("th")).distinct().join(each.select("th", F.col("copies").alias("n")), "th")
+    rows = of.count()
+    held = materialise(spread_join(text, involved, ["th"], rows).dropDuplicates(["th"]), "held")
 
     links = materialise(compared(_pairs(members), held), "links")
     roots = components(links).withColumnRenamed("node", "th")
@@ -318,4 +319,4 @@ def near_copies(docs: DataFrame) -> DataFrame:
         links = links.unionByName(materialise(searched(apart, mixed, held, total), "links"))
         roots = components(links).withColumnRenamed("node", "th")
     copies = each.select("th", F.col("copies").alias("n")).join(roots, "th", "left").withColumn("root", F.coalesce("root", "th"))
-    return spread_join(of.select("doc_id", "th"), copies, ["th"], of.count())
+    return spread_join(of.select("doc_id", "th"), copies, ["th"], rows)

@@ -7,8 +7,9 @@ to the parent) in flat arrays; a query follows only edges within the radius of i
 Trees are not broadcast: together they grow with the corpus, so the queries of a shard travel to its tree.
 
 A shard hands on a star for each local component, never its pairs.  A key with more than ``HOT`` values is
-not built at once: its values are dealt anew by finer keys (half of eight blocks), again without loss.
-Components of the stars then come from a distributed star algorithm.
+not built at once: its values are dealt anew by finer keys (half of eight blocks), again without loss; a finer key
+that still has more is cut into blocks of values, and a tree is built for each pair of blocks, so a task's trees are
+bounded whatever a key holds.  Components of the stars then come from a distributed star algorithm.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other; repeated rows share a
 fingerprint; a null ``doc_id`` is skipped when the smallest id is taken; an empty table gives an empty result.
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import materialise, released, table
-from loomwick.llm.components import components
+from loomwick.llm.common import materialise, released, spread_join, table
+from loomwick.llm.components import components, unite
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: More distinct values than this under one key are dealt anew by finer keys.
@@ -131,26 +132,9 @@ class Forest:
 
         label = np.arange(len(self.values))
         for q, node in self.near(radius):
-            self._unite(label, q, node)
+            unite(label, q, node)
         return label
 
-    @staticmethod
-    def _unite(label, a, b) -> None:
-        import numpy as np
-
-        while len(a):
-            x, y = label[a], label[b]
-            open_ = x != y
-            if not open_.any():
-                return
-            a, b, x, y = a[open_], b[open_], x[open_], y[open_]
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while True:
-                up = label[label]
-                if np.array_equal(up, label):
-                    break
-                label[:] = up
-
 
 def _stars(radius: int, hot: int | None):
     """Rows sorted by (t, key, fp) to star links (kind 0) and the values of hot keys (kind 1)."""
@@ -207,10 +191,26 @@ def _stars(radius: int, hot: int | None):
     return run
 
 
-def _links(values: DataFrame, blocks: int, radius: int, hot: int | None) -> DataFrame:
+def _dealt(values: DataFrame, blocks: int, radius: int) -> DataFrame:
+    """t, key and fp: every value once for each choice of blocks."""
     picks = [F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks(blocks, radius))]
-    dealt = values.select(F.explode(F.array(*picks)).alias("x"), "fp").select("x.t", "x.key", "fp")
-    return dealt.repartition("t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(_stars(radius, hot), "kind int, a long, b long")
+    return values.select(F.explode(F.array(*picks)).alias("x"), "fp").select(F.col("x.t").cast("long").alias("t"), "x.key", "fp")
+
+
+def _links(values: DataFrame, blocks: int, radius: int, hot: int | None) -> DataFrame:
+    return _dealt(values, blocks, radius).repartition("t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(_stars(radius, hot), "kind int, a long, b long")
+
+
+def _fine_links(values: DataFrame, blocks: int, radius: int, limit: int) -> DataFrame:
+    """Star links of values dealt by finer keys; a key of more than ``limit`` values is cut into blocks, and each pair of blocks is a shard."""
+    dealt = materialise(_dealt(values, blocks, radius), "dealt")
+    counts = dealt.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).withColumn("cut", F.ceil(F.col("n") / limit).cast("int"))
+    sized = spread_join(dealt, counts, ["t", "key"], dealt.count())
+    own = F.pmod(F.xxhash64("fp"), F.col("cut"))
+    paired = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+    shard = F.col("t") * (1 << 40) + F.least("own", "other") * (1 << 20) + F.greatest("own", "other")
+    rows = paired.select(shard.alias("t"), "key", "fp").repartition("t", "key").sortWithinPartitions("t", "key", "fp")
+    return rows.mapInArrow(_stars(radius, None), "kind int, a long, b long").select("a", "b").distinct()
 
 
 def near_links(values: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
@@ -219,22 +219,19 @@ def near_links(values: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataF
     first = materialise(_links(values, max(blocks_for(values.count()), radius + 1), radius, hot).distinct(), "links")
     links, again = first.filter("kind = 0").select("a", "b"), first.filter("kind = 1").select(F.col("a").alias("fp")).distinct()
     if again.take(1):
-        fine = _links(again, max(FINE_BLOCKS, radius + 1), radius, None).select("a", "b").distinct()
-        links = links.unionByName(fine).distinct()
+        links = links.unionByName(_fine_links(again, max(FINE_BLOCKS, radius + 1), radius, hot)).distinct()
     return links
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, th, fp and component_id, the smallest doc_id that links lead to, of every row."""
     prints = materialise(fingerprints(docs), "fingerprints")
-    values = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "values")
-    roots = components(near_links(values, radius))
-    placed = materialise(
-        values.join(roots, values["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "placed"
-    )
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "root").select(F.col("fp").alias("named_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "th", "fp", "component_id")
+    values = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "values")
+    roots = components(near_links(values, radius)).withColumnRenamed("node", "fp")
+    placed = materialise(values.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    named = spread_join(placed.select("root", "fp", "copies"), least, ["root"], placed.count())
+    return spread_join(prints, named.select("fp", F.col("copies").alias("n"), "component_id"), ["fp"], prints.count())
 
 
 def hex_of(fp: str = "fp"):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import scratch, table, texts
+from loomwick.llm.common import gone_at_end, scratch, table, texts
 
 #: Pieces in a generation of a worker's memory; a full one is kept as the older until the next is full.
 CACHE_PIECES = 550_000
@@ -184,4 +184,5 @@ def default_tokenizer() -> str:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, default_tokenizer())
+    gone_at_end(spark, path)
     return digest(read_tokens(spark, path))
