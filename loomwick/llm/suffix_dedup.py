@@ -12,8 +12,10 @@ The corpus is cut into bounded shards so that no match crosses one, and each sha
    and run ends, and the length matched with the neighbour there.  Along the text these lengths fall by one
    a byte between samples, so one pass streams the matching statistics of every byte against all others;
    windows with a match of ``LENGTH`` or more are marked.
-4. An anchor with more variants than a shard holds (a passage in very many different surroundings) is split
-   by whole windows instead: their content hashes are counted with map-side sums, which loses no match.
+4. An anchor with more than ``ANCHOR_BYTES`` of variants (a passage in very many different surroundings) is dealt
+   again before any shuffle by anchor: its variants are cut by anchors of another hash, below the first ones, and
+   steps 2 and 3 follow for these.  That is repeated up to ``LEVELS`` times; what is still too large then (windows
+   that differ almost nowhere) is counted by whole windows with map-side sums, which loses no match.
 
 Hashes are 64 bits for grams, with a second 64 for contents: of 128 bits where equality is decided.
 
@@ -31,18 +33,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import materialise, released, table
+from loomwick.llm.common import materialise, released, spread_join, table
 
 LENGTH, GRAM = 200, 32
 #: Bytes of segments that one run-length index holds.
 SHARD_BYTES = 1 << 20
+#: Bytes of variants that one anchor may bring to a shard, and how often larger anchors are dealt again.
+ANCHOR_BYTES, LEVELS = 1 << 18, 6
 #: Windows handled at once in a long text; positions inside fit the low bits of a gram's rank.
 CHUNK, LOW_BITS = 1 << 19, 20
 SEG = "doc_id long, th long, start long, nwin int, fp long, sh long, n long, known boolean"
 
 
-def anchors(t, length: int = LENGTH, gram: int = GRAM):
-    """first window, number of windows, anchor position and gram hash of each run of windows of a byte array."""
+def anchors(t, length: int = LENGTH, gram: int = GRAM, level: int = 0):
+    """first window, number of windows, anchor position and gram hash of each run of windows of a byte array.
+
+    Each level has a hash of its own.
+    """
     import numpy as np
 
     u = np.uint64
@@ -53,7 +60,7 @@ def anchors(t, length: int = LENGTH, gram: int = GRAM):
         a = a[:-2] | (a[2:] << u(16))
         a = a[:-4] | (a[4:] << u(32))
         m = len(a) - gram + 8
-        h = np.zeros(m, u)
+        h = np.full(m, level * 0xA24BAED4963EE407 % (1 << 64), u)
         for k, c in zip(range(0, gram, 8), (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93), strict=False):
             x = a[k : k + m] * u(c)
             h += x ^ (x >> u(31))
@@ -234,59 +241,89 @@ def marks_of(parts: list[bytes], length: int = LENGTH):
     return part, lo - index.first[part], hi - index.first[part]
 
 
+CUT = "fp long, spread long, doc_id long, th long, start long, n long, bytes binary"
+
+
 def _index_shards(length: int, limit: int):
-    """Rows sorted by fp to marks (kind 0: lo, hi in bytes of the text) and rows of too large anchors (kind 1)."""
-    names = ["kind", "doc_id", "th", "start", "lo", "hi", "n", "bytes"]
+    """Rows of CUT sorted by fp to marks (kind 0: lo, hi in bytes of the text); those with spread pass as they are (kind 1)."""
+    names = ["kind", "fp", "doc_id", "th", "start", "lo", "hi", "n", "bytes"]
 
     def passed(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([1] * len(rows), pa.int32()), *[pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)], *[pa.array([0] * len(rows), pa.int64())] * 2, pa.array([r[4] for r in rows], pa.int64()), pa.array([r[5] for r in rows], pa.binary())],
-            names,
-        )
+        none = pa.array([0] * len(rows), pa.int64())
+        fp, doc, th, start, n = (pa.array([r[k] for r in rows], pa.int64()) for k in (0, 2, 3, 4, 5))
+        return pa.RecordBatch.from_arrays([pa.array([1] * len(rows), pa.int32()), fp, doc, th, start, none, none, n, pa.array([r[6] for r in rows], pa.binary())], names)
 
     def index(rows):
         if len(rows) < 2:
             return
-        part, lo, hi = marks_of([r[5] for r in rows], length)
+        part, lo, hi = marks_of([r[6] for r in rows], length)
         picked = [rows[k] for k in part.tolist()]
-        start = pa.array([r[3] for r in picked], pa.int64())
+        fp, doc, th, start, n = (pa.array([r[k] for r in picked], pa.int64()) for k in (0, 2, 3, 4, 5))
         at = start.to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([0] * len(picked), pa.int32()), pa.array([r[1] for r in picked], pa.int64()), pa.array([r[2] for r in picked], pa.int64()), start, pa.array(lo + at), pa.array(hi - 1 + length + at), pa.array([r[4] for r in picked], pa.int64()), pa.nulls(len(picked), pa.binary())],
+            [pa.array([0] * len(picked), pa.int32()), fp, doc, th, start, pa.array(lo + at), pa.array(hi - 1 + length + at), n, pa.nulls(len(picked), pa.binary())],
             names,
         )
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, fp, size, own, passing = [], [], None, 0, 0, False
+        held, size, fp, through = [], 0, None, []
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if row[0] != fp:
-                    if passing:
-                        if group:
-                            yield passed(group)
-                    else:
-                        held += group
-                        size += own
-                        if size >= limit // 2:
-                            yield from index(held)
-                            held, size = [], 0
-                    group, own, fp, passing = [], 0, row[0], False
-                group.append(row)
-                own += len(row[5])
-                if own > limit or (passing and len(group) >= 1000):
-                    passing = True
-                    yield passed(group)
-                    group, own = [], 0
-        if passing:
-            if group:
-                yield passed(group)
-            group = []
-        yield from index(held + group)
+                if row[1]:
+                    through.append(row)
+                    if len(through) >= 1000:
+                        yield passed(through)
+                        through = []
+                    continue
+                if row[0] != fp and size >= limit // 2:
+                    yield from index(held)
+                    held, size = [], 0
+                fp = row[0]
+                held.append(row)
+                size += len(row[6])
+        if through:
+            yield passed(through)
+        yield from index(held)
+
+    return run
+
+
+MATCHES = "kind int, fp long, doc_id long, th long, start long, lo long, hi long, n long, bytes binary"
+
+
+def _matches(cut: DataFrame, length: int, limit: int) -> DataFrame:
+    dealt = cut.repartition("fp", "spread").sortWithinPartitions("fp", "spread", "doc_id", "th", "start")
+    return materialise(dealt.mapInArrow(_index_shards(length, limit), MATCHES), "matches")
+
+
+def _dealt_again(length: int, level: int):
+    """Variants (fp, doc_id, th, start, n, bytes) to the segments that the anchors of a level cut them into."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        from xxhash import xxh3_64_intdigest as digest
+
+        for batch in batches:
+            out = []
+            for fp, doc, th, start, n, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                first, count, place, below = anchors(np.frombuffer(raw, np.uint8), length, level=level)
+                for a, c, p, g in zip(first.tolist(), count.tolist(), place.tolist(), below.tolist(), strict=True):
+                    part = raw[a : a + c + length - 1]
+                    key = digest(g.to_bytes(8, "little"), fp % (1 << 64))
+                    out.append((key - (1 << 64) if key >> 63 else key, digest(part, p - a), doc, th, start + a, c, n, part))
+            if out:
+                cols = list(zip(*out, strict=True))
+                arrays = [pa.array(c, pa.int64()) for c in (cols[0], *cols[2:7])]
+                yield pa.RecordBatch.from_arrays([arrays[0], pa.array(np.array(cols[1], np.uint64).view(np.int64)), *arrays[1:], pa.array(cols[7], pa.binary())], [c.split()[0] for c in AGAIN.split(", ")])
 
     return run
 
 
+AGAIN = "fp long, sh long, doc_id long, th long, start long, nwin long, n long, bytes binary"
+
+
 def _windows(length: int):
     """The single windows of segments: doc_id, th, at, two content hashes, n."""
 
@@ -317,10 +354,10 @@ def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, th, raws, wants = (c.to_pylist() for c in batch.columns)
-            out = [(w["fp"], d, t, w["start"], w["n"], raw[w["start"] : w["start"] + w["nwin"] + length - 1]) for d, t, raw, ws in zip(doc, th, raws, wants, strict=True) for w in ws]
+            out = [(w["fp"], w["spread"], d, t, w["start"], w["n"], raw[w["start"] : w["start"] + w["nwin"] + length - 1]) for d, t, raw, ws in zip(doc, th, raws, wants, strict=True) for w in ws]
             for a in range(0, len(out), 20_000):
                 cols = list(zip(*out[a : a + 20_000], strict=True))
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.binary())], ["fp", "doc_id", "th", "start", "n", "bytes"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:6]], pa.array(cols[6], pa.binary())], [c.split()[0] for c in CUT.split(", ")])
 
     return run
 
@@ -335,36 +372,55 @@ def _same(a: DataFrame, b: DataFrame):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def _wanted(variants: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
+    """The variants whose windows must be compared: fp, n and rep of anchors with several; spread is not 0 for too large anchors.
+
+    An anchor's variants differ; one that occurs twice is marked whole, so that anchors without a single one need no more.
+    """
+    size = F.sum(F.col("rep.nwin") + (length - 1))
+    anchor = variants.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("n").alias("least"), size.alias("size")).filter("n > 1 and least = 1")
+    mixed = spread_join(variants, anchor.select("fp", "n", "size"), ["fp"], variants.count())
+    spread = F.when(F.col("size") > anchor_bytes, F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) + 1).otherwise(0)
+    return mixed.withColumn("spread", spread).drop("size", "sh")
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, anchor_bytes: int = ANCHOR_BYTES, levels: int = LEVELS) -> DataFrame:
     """doc_id, th and spans (lo, hi in bytes, some may touch or overlap) of texts with repeated windows."""
     texts = keyed(docs)
     segs = materialise(texts.filter(F.length("raw") >= length).mapInArrow(_segments(length), SEG), "segments")
     span = [F.col("start").alias("lo"), (F.col("start") + F.col("nwin") + (length - 1)).alias("hi")]
     variants = segs.filter("n > 0").groupBy("fp", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "start", "nwin")).alias("rep"))
     variants = materialise(variants, "variants")
-    # many: an anchor's variants differ, so its windows must be compared; a variant that occurs twice needs no more
-    mixed = variants.groupBy("fp").agg(F.count(F.lit(1)).alias("nv"), F.min("n").alias("least")).filter("nv > 1 and least = 1").select("fp")
-    wanted = variants.join(mixed, "fp").select("fp", "n", "rep.*")
-    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "start", "nwin", "n")).alias("wants"))
+    wanted = _wanted(variants, length, anchor_bytes).select("fp", "n", "spread", "rep.*")
+    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "start", "nwin", "n", "spread")).alias("wants"))
     fetched = texts.join(lists, _same(texts, lists)).select(texts["doc_id"], texts["th"], "raw", "wants")
-    cut = fetched.mapInArrow(_cut(length), "fp long, doc_id long, th long, start long, n long, bytes binary")
-    dealt = cut.repartition("fp").sortWithinPartitions("fp", "doc_id", "th", "start")
-    found = dealt.mapInArrow(
-        _index_shards(length, shard_bytes), "kind int, doc_id long, th long, start long, lo long, hi long, n long, bytes binary"
-    )
-    found = materialise(found, "matches")
+    found = _matches(fetched.mapInArrow(_cut(length), CUT), length, shard_bytes)
     twice = variants.filter("n > 1").select("fp", "sh")
     marks = segs.filter("known").select("doc_id", "th", *span)
     marks = marks.unionByName(segs.filter("not known").join(twice, ["fp", "sh"], "left_semi").select("doc_id", "th", *span))
     marks = marks.unionByName(found.filter("kind = 0").select("doc_id", "th", "lo", "hi"))
-    if found.filter("kind = 1").take(1):
-        hot = found.filter("kind = 1").select("doc_id", "th", "start", "n", "bytes")
-        single = hot.mapInArrow(_windows(length), "doc_id long, th long, at long, h1 long, h2 long, n long")
+    hot = found.filter("kind = 1").select("fp", "doc_id", "th", "start", "n", "bytes")
+    for level in range(1, levels + 1):
+        if not hot.take(1):
+            break
+        parts = materialise(hot.mapInArrow(_dealt_again(length, level), AGAIN), "parts")
+        variants = parts.groupBy("fp", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "start", "nwin", "bytes")).alias("rep"))
+        variants = materialise(variants, "variants")
+        # rows of n > 1 stand for variants that are marked whole
+        single = parts.filter("n = 1").select("fp", "sh", "doc_id", "th", "start", "nwin")
+        marks = marks.unionByName(single.join(variants.filter("n > 1").select("fp", "sh"), ["fp", "sh"], "left_semi").select("doc_id", "th", *span))
+        wanted = _wanted(variants, length, anchor_bytes)
+        cut = wanted.select("fp", F.col("spread").cast("long").alias("spread"), "rep.doc_id", "rep.th", "rep.start", "n", "rep.bytes")
+        found = _matches(cut, length, shard_bytes)
+        marks = marks.unionByName(found.filter("kind = 0").select("doc_id", "th", "lo", "hi"))
+        hot = found.filter("kind = 1").select("fp", "doc_id", "th", "start", "n", "bytes")
+    if hot.take(1):
+        single = hot.select("doc_id", "th", "start", "n", "bytes").mapInArrow(_windows(length), "doc_id long, th long, at long, h1 long, h2 long, n long")
         single = materialise(single, "windows")
         often = single.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
         more = single.filter("n = 1").join(often, ["h1", "h2"], "left_semi")
         marks = marks.unionByName(more.select("doc_id", "th", F.col("at").alias("lo"), (F.col("at") + length).alias("hi")))
-    return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return marks.groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -413,14 +469,14 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def with_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, anchor_bytes: int = ANCHOR_BYTES, levels: int = LEVELS) -> DataFrame:
     """doc_id, raw and spans (null if none) of every row."""
-    texts, found = keyed(docs), repeats(docs, length, shard_bytes)
+    texts, found = keyed(docs), repeats(docs, length, shard_bytes, anchor_bytes, levels)
     return texts.join(found, _same(texts, found), "left").select(texts["doc_id"], "raw", "spans")
 
 
-def digest(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    rows = with_spans(docs, length, shard_bytes)
+def digest(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, anchor_bytes: int = ANCHOR_BYTES, levels: int = LEVELS) -> DataFrame:
+    rows = with_spans(docs, length, shard_bytes, anchor_bytes, levels)
     return rows.mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 

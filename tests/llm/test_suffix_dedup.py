@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from loomwick.llm import suffix_dedup as op
@@ -51,6 +52,25 @@ def test_equals_brute_force(spark, length, shard):
     assert sorted(got, key=str) == brute(data, length)
 
 
+@pytest.mark.parametrize(("anchor_bytes", "levels"), [(1500, 8), (600, 2), (600, 0)])
+def test_large_anchors_are_dealt_again(spark, anchor_bytes, levels):
+    """Anchors too large for a shard: by further anchors, and by whole windows where none are left."""
+    data = rows(11, 64)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in op.digest(df, 64, 3000, anchor_bytes, levels).collect()]
+    assert sorted(got, key=str) == brute(data, 64)
+
+
+def test_windows_of_a_step(spark, monkeypatch):
+    """Texts longer than a step of the anchor search."""
+    monkeypatch.setattr(op, "CHUNK", 100)
+    data = rows(12, 40)[:40]
+    for _, text in data:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        first, count, place, _ = op.anchors(raw, 40, 32)
+        assert int(count.sum()) == max(0, len(raw) - 39) and all(f <= p <= f + 8 + c - 1 for f, c, p in zip(first, count, place, strict=True))
+
+
 def test_matching_statistics():
     rnd = random.Random(1)
     parts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 60))) for _ in range(40)] + [b"a" * 50, b"b"]
