@@ -8,8 +8,10 @@ words, and text positions sampled at every ``SAMPLE``-th word and at run starts.
 backwards at once; occurrences are located by walking to the next sampled position; the words of all
 occurrences merge to removal spans.
 
-Test items travel with the tasks, so they are taken in blocks of at most ``BLOCK_BYTES`` of text; further
-blocks are further passes over the rows inside the same stage, and their spans and items add up.
+Test items travel with the tasks, so they are taken in blocks of about ``BLOCK_BYTES`` of text.  One block is one pass
+over the rows.  Of several each is one job over the texts, whose finds are written to the shared folder before the
+next block is read, so that driver and workers hold one block at a time whatever the benchmark's size; the finds of
+a text then add up and join its rows.
 
 Defined cases: a null or empty text has no words and is clean; items without words, or with a null id, are
 skipped; item rows with equal ids are one item; equal rows are judged alike; an empty table gives an empty
@@ -20,13 +22,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import released, table
+from loomwick.llm.common import materialise, released, spread_join, table
 
 WINDOW, SAMPLE = 10, 8
 #: Text of the test items that one pass carries.
@@ -219,49 +222,90 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
 
-def _pass(items: list[tuple[str, str]], text_at: int, width: int, remove: bool):
-    """Adds a block's finds to the last three columns: n_words, spans, items; remove: cuts the text instead of giving them."""
+def _shards(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[list[pa.RecordBatch]]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text_at).nbytes
+        if size >= SHARD_TEXT:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
-    @released
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+class Search:
+    """The windows of a block of test items, ready to be searched in a shard."""
+
+    def __init__(self, items: list[tuple[str, str]], width: int):
         import numpy as np
 
-        windows = Windows(items, width)
+        self.windows = Windows(items, width)
         by_length: dict[int, list[int]] = {}
-        for k, w in enumerate(windows.windows):
+        for k, w in enumerate(self.windows.windows):
             by_length.setdefault(len(w), []).append(k)
-        matrices = [(np.array(ks), np.array([windows.windows[k] for k in ks], np.int64)) for ks in by_length.values()]
+        self.matrices = [(np.array(ks), np.array([self.windows.windows[k] for k in ks], np.int64)) for ks in by_length.values()]
+
+    def texts(self, held: list[pa.RecordBatch], text_at: int):
+        raws = [(t or "").encode() for b in held for t in b.column(text_at).to_pylist()]
+        return search_texts(raws, self.windows, self.matrices)
+
+
+def _lists(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"lo": lo, "hi": hi} for lo, hi in s] for s in spans], _SPANS)
+
 
-        def shard(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            raws = [(t or "").encode() for b in held for t in b.column(text_at).to_pylist()]
-            n_words, spans, found = search_texts(raws, windows, matrices)
+def _finished(batch: pa.RecordBatch, text_at: int, names: list[str], n_words, spans, items, remove: bool) -> pa.RecordBatch:
+    """The columns of names with what was found, or with the found spans cut from the text."""
+    cols = batch.columns[: len(names)]
+    if remove:
+        texts = [without_spans(t, s) if s else t for t, s in zip(batch.column(text_at).to_pylist(), spans, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == text_at else c for k, c in enumerate(cols)], names)
+    return pa.RecordBatch.from_arrays([*cols, pa.array(n_words, pa.int64()), _lists(spans), pa.array(items, pa.list_(pa.string()))], [*names, *FOUND])
+
+
+FOUND = ["n_words", "hit_spans", "hit_items"]
+
+
+def _one_pass(items, text_at: int, names: list[str], width: int, remove: bool):
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(items.value, width)
+        for held in _shards(batches, text_at):
+            n_words, spans, found = search.texts(held, text_at)
             at = 0
             for b in held:
                 sl = slice(at, at + b.num_rows)
                 at += b.num_rows
-                before = [[(s["lo"], s["hi"]) for s in x] for x in b.column(b.num_columns - 2).to_pylist()]
-                known = b.column(b.num_columns - 1).to_pylist()
-                merged = [union(x + y) for x, y in zip(before, spans[sl], strict=True)]
-                if remove:
-                    texts = [without_spans(t, m) if m else t for t, m in zip(b.column(text_at).to_pylist(), merged, strict=True)]
-                    cut = pa.array(texts, pa.string())
-                    yield pa.RecordBatch.from_arrays([cut if k == text_at else b.column(k) for k in range(b.num_columns - 3)], b.schema.names[:-3])
-                    continue
-                s = [[{"lo": lo, "hi": hi} for lo, hi in m] for m in merged]
-                i = [sorted({*x, *y}) for x, y in zip(known, found[sl], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:-3], pa.array(n_words[sl], pa.int64()), pa.array(s, _SPANS), pa.array(i, pa.list_(pa.string()))], b.schema.names
-                )
-
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.column(text_at).nbytes
-            if size >= SHARD_TEXT:
-                yield from shard(held)
-                held, size = [], 0
-        if held:
-            yield from shard(held)
+                yield _finished(b, text_at, names, n_words[sl], spans[sl], found[sl], remove)
+
+    return run
+
+
+def _block_pass(items, width: int):
+    """Rows of two hashes and a text to the hashes, spans and items of those with finds."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(items.value, width)
+        for held in _shards(batches, 2):
+            _, spans, found = search.texts(held, 2)
+            keep = [k for k, s in enumerate(spans) if s]
+            take = pa.array(keep, pa.int64())
+            hashes = [pa.concat_arrays([b.column(k) for b in held]).take(take) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*hashes, _lists([spans[k] for k in keep]), pa.array([found[k] for k in keep], pa.list_(pa.string()))], ["h1", "h2", *FOUND[1:]])
+
+    return run
+
+
+def _last_pass(text_at: int, names: list[str], remove: bool):
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_words = [len(words_of((t or "").encode())) for t in b.column(text_at).to_pylist()]
+            spans = [union([(s["lo"], s["hi"]) for s in x or []]) for x in b.column(len(names)).to_pylist()]
+            items = [sorted(set(x or [])) for x in b.column(len(names) + 1).to_pylist()]
+            yield _finished(b, text_at, names, n_words, spans, items, remove)
 
     return run
 
@@ -274,32 +318,42 @@ def list_blocks(benchmark: DataFrame, block_bytes: int) -> list[Callable[[], lis
     return [lambda k=k: [tuple(r) for r in rows.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()] for k in range(n)]
 
 
-def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, remove: bool) -> DataFrame:
-    docs = docs.drop("n_words", "hit_spans", "hit_items").withColumn("text", F.col("text").cast("string"))
-    out = docs.withColumns(
-        {
-            "n_words": F.lit(0).cast("long"),
-            "hit_spans": F.array().cast("array<struct<lo:int,hi:int>>"),
-            "hit_items": F.array().cast("array<string>"),
-        }
-    )
-    blocks, at = list_blocks(benchmark, block_bytes), docs.columns.index("text")
-    for k, items in enumerate(blocks):
-        cut = remove and k == len(blocks) - 1
-        out = out.mapInArrow(_pass(items(), at, width, cut), docs.schema if cut else out.schema)
-    return out
+def _scanned(rows: DataFrame, text_at: int, benchmark: DataFrame, width: int, block_bytes: int, remove: bool) -> DataFrame:
+    """rows (columns c0, c1, ...) with the columns FOUND, or with texts cut; one Python function a task at any time."""
+    spark, names = rows.sparkSession, rows.columns
+    rows = rows.withColumn(names[text_at], F.col(names[text_at]).cast("string"))
+    empty = rows.withColumns({"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast("array<struct<lo:int,hi:int>>"), "hit_items": F.array().cast("array<string>")})
+    schema = rows.schema if remove else empty.schema
+    blocks = list_blocks(benchmark, block_bytes)
+    if len(blocks) == 1:
+        return rows.mapInArrow(_one_pass(spark.sparkContext.broadcast(blocks[0]()), text_at, names, width, remove), schema)
+    text = F.coalesce(F.col(names[text_at]), F.lit(""))
+    keyed = rows.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit("benchmark"), text)})
+    found = []
+    for block in blocks:
+        items = spark.sparkContext.broadcast(block())
+        hits = keyed.select("h1", "h2", text.alias("text")).mapInArrow(_block_pass(items, width), "h1 long, h2 long, hit_spans array<struct<lo:int,hi:int>>, hit_items array<string>")
+        once = hits.groupBy("h1", "h2").agg(F.first("hit_spans").alias("spans"), F.first("hit_items").alias("items"), F.count(F.lit(1)).alias("n"))
+        found.append(materialise(once, "finds"))
+        items.destroy()
+    each = reduce(DataFrame.unionByName, found).groupBy("h1", "h2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.max("n").alias("n"))
+    joined = spread_join(keyed, each, ["h1", "h2"], rows.count(), "left").select(*names, "spans", "items")
+    return joined.mapInArrow(_last_pass(text_at, names, remove), schema)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with n_words, hit_spans (word numbers lo, hi) and hit_items; clashing columns are replaced."""
-    return _scanned(docs, benchmark, width, block_bytes, False)
+    docs = docs.drop(*FOUND)
+    return _scanned(_numbered(docs), docs.columns.index("text"), benchmark, width, block_bytes, False).toDF(*docs.columns, *FOUND)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with the spans of hit words cut from the texts, from the first to the last word of each."""
-    names = {c: f"c{k}" for k, c in enumerate(docs.columns) if c != "text"}
-    out = _scanned(docs.withColumnsRenamed(names), benchmark, width, block_bytes, True)
-    return out.withColumnsRenamed({v: k for k, v in names.items()})
+    return _scanned(_numbered(docs), docs.columns.index("text"), benchmark, width, block_bytes, True).toDF(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:

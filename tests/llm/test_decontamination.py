@@ -53,6 +53,19 @@ def test_equals_brute_force_in_one_block_and_in_many(spark):
         assert got == brute(docs, items)
 
 
+def test_cut_texts_are_the_same_in_many_blocks(spark):
+    """A benchmark of hundreds of blocks: one job each, and the same texts; columns called like ours stay."""
+    docs, items = data()
+    items = items + [(1000 + k, f"q{k} other words {k}") for k in range(100)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("text", "doc_id", "1 as h1", "'x' as c0", "2 as n")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one = op.clean(d, b)
+    assert len(op.list_blocks(b, 100)) > 20
+    many = op.clean(d, b, block_bytes=100)
+    assert one.columns == many.columns == d.columns
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, many.collect()), key=str)
+
+
 def test_long_phrases_alone(spark):
     docs, items = data()
     items = [(i, t) for i, t in items if len(words(t)) >= 10]
