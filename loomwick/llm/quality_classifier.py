@@ -6,9 +6,9 @@ vector of its shape (capitals, digits, signs).  A document pools its words' vect
 alike neighbours are, how many words differ), and a numpy network with one hidden layer scores it.  The logit is
 divided by a temperature fitted on a part of the training rows that the network did not see.
 
-The classifier is fitted on at most about ``TRAIN_ROWS`` labelled texts (a hash of the id picks them; texts over
-``TRAIN_CHARS`` are left out of the fit): the bound of this classifier.  Scoring covers every row and whole
-texts.  Inputs are texts alone.
+The classifier is fitted on about ``TRAIN_ROWS`` labelled texts at most (a hash of the id picks them, whatever their
+length): the bound of this classifier.  Executors read these texts, whole; the driver gets sums for each word bucket and one
+row of features a text.  Scoring covers every row and whole texts.  Inputs are texts alone.
 
 Defined cases: a null or empty text is scored as a text without words; without labels of both kinds every
 score is the share of label 1 (0.5 if there is no label); labels other than 0 and 1 are ignored; a null ``doc_id``
@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import held_out_by, table
+from loomwick.llm.common import held_out_by, materialise, table
 
-TRAIN_ROWS, TRAIN_CHARS = 6000, 50_000
+TRAIN_ROWS = 6000
 DIM, NONZERO, NEAR = 32, 4, 2
 BUCKETS = 1 << 14
 HIDDEN, EPOCHS, RATE, DECAY, SEED = 24, 60, 0.01, 1e-4, 11
 CACHE_WORDS = 200_000
+#: Words of a text whose neighbours are summed in one step.
+STEP = 1 << 15
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 SHAPES = 6
 
@@ -131,26 +133,56 @@ class Vectors:
         return out
 
 
-def learn_context(texts: list[str]):
-    """Unit context vectors of hashed words."""
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket and the sum of its words' neighbours' index vectors, in halves: integers, so that sums repeat exactly."""
     import numpy as np
 
-    vec = Vectors()
+    vec, out = Vectors(), np.zeros((BUCKETS, DIM), np.int64)
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if vec.size > CACHE_WORDS:
+                vec.clear()
+            rows = vec.rows(TOKEN.findall(text or ""))
+            for a in range(0, len(rows), STEP):
+                lo, hi = max(0, a - NEAR), min(len(rows), a + STEP + NEAR)
+                index = (vec.index[rows[lo:hi]] * np.float32(np.sqrt(NONZERO))).astype(np.int64)
+                near = np.zeros_like(index)
+                for d in range(1, NEAR + 1):
+                    if len(index) > d:
+                        near[d:] += index[:-d]
+                        near[:-d] += index[d:]
+                part = slice(a - lo, min(len(rows), a + STEP) - lo)
+                np.add.at(out, vec.bucket[rows[lo:hi][part]], near[part])
+    used = np.flatnonzero(out.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(out[used, k]) for k in range(DIM)]], ["bucket", *[f"v{k}" for k in range(DIM)]])
+
+
+def learn_context(sample: DataFrame):
+    """Unit context vectors of hashed words: at most BUCKETS rows of sums reach the driver."""
+    import numpy as np
+
+    names = [f"v{k}" for k in range(DIM)]
+    sums = sample.select("text").mapInArrow(_neighbours, "bucket long, " + ", ".join(f"{v} long" for v in names))
+    got = sums.groupBy("bucket").agg(*[F.sum(v).alias(v) for v in names]).toArrow()
     out = np.zeros((BUCKETS, DIM), np.float32)
-    for text in texts:
-        if vec.size > CACHE_WORDS:
-            vec.clear()
-        rows = vec.rows(TOKEN.findall(text))
-        near = np.zeros((len(rows), DIM), np.float32)
-        for d in range(1, NEAR + 1):
-            if len(rows) > d:
-                near[d:] += vec.index[rows[:-d]]
-                near[:-d] += vec.index[rows[d:]]
-        np.add.at(out, vec.bucket[rows], near)
+    out[got.column(0).to_numpy()] = np.stack([got.column(v).to_numpy() for v in names], 1)
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.maximum(norm, 1e-9)
 
 
+def _features(context):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        vectors = Vectors(context.value)
+        for batch in batches:
+            x = vectors.pooled(batch.column(3).to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], ["doc_id", "th", "quality", "x"])
+
+    return run
+
+
 def fit(x, y):
     """The network and its temperature, as a dict of arrays."""
     import numpy as np
@@ -204,15 +236,20 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS):
     if not n:
         return 0.5
     pick = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < min(1.0, rows / n) * (1 << 20)
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cols = cols.filter(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)
-    sample = cols.join(F.broadcast(known.filter(pick)), "doc_id").select("doc_id", "text", "quality").toArrow()
-    data = sorted(zip(*[c.to_pylist() for c in sample.columns], strict=True), key=lambda r: (r[0], r[1] or "", r[2]))
-    y = np.array([r[2] for r in data], np.float64)
-    if len(set(y.tolist())) < 2:
-        return float(y.mean()) if len(y) else 0.5
-    context = learn_context([r[1] for r in data if r[1]])
-    return context, fit(Vectors(context).pooled([r[1] for r in data]), y)
+    text = F.col("text").cast("string")
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), text.alias("text"))
+    sample = cols.join(F.broadcast(known.filter(pick)), "doc_id").select("doc_id", "th", "quality", "text")
+    sample = materialise(sample, "sample")
+    kinds = [r[0] for r in sample.select("quality").distinct().collect()]
+    if len(kinds) < 2:
+        return float(kinds[0]) if kinds else 0.5
+    context = learn_context(sample)
+    shared = docs.sparkSession.sparkContext.broadcast(context)
+    got = sample.mapInArrow(_features(shared), "doc_id long, th long, quality int, x array<float>").toArrow()
+    doc, th, y = (got.column(k).to_numpy() for k in range(3))
+    x = got.column(3).combine_chunks().flatten().to_numpy().reshape(len(y), -1)
+    order = np.lexsort((y, th, doc))
+    return context, fit(x[order], y[order].astype(np.float64))
 
 
 def _score(model):
