@@ -5,9 +5,12 @@ score is a naive Bayes score of its hashed character n-grams.  A Viterbi pass ov
 penalty for every switch, labels spans; the language with most letters names the text.
 
 The model is learned from at most about ``TRAIN_ROWS`` texts of each language (chosen by a hash of the id, the
-bound of this classifier) by distributed counts: (language, bucket) sums, at most ``MAX_LANGS * BUCKETS`` rows.
+bound of this classifier) by distributed counts: one packed array of ``BUCKETS`` sums a language reaches the driver.
+Every non-null ``lang`` value is learned, however many there are.  Words and languages looked at together are bounded by
+``CELLS``: a text with more is labelled in parts, forwards with the state kept at each part's start, then backwards part
+by part, with the same result.
 
-Defined cases: a null text, or one without letters, is ``und`` with score 0, as is everything when no language
+Defined cases: where languages are equally likely for a text, the first by name names it; a null text, or one without letters, is ``und`` with score 0, as is everything when no language
 can be learned; null languages are not learned; a null ``doc_id`` is not held out; repeated rows are judged
 alike; an empty table gives an empty result; extra columns are ignored.
 """
@@ -24,15 +27,15 @@ from pyspark.sql import functions as F
 from loomwick.llm.common import held_out_by, released, table
 
 UNKNOWN = "und"
-TRAIN_ROWS, MAX_LANGS = 2000, 256
+TRAIN_ROWS = 2000
 BUCKETS = 1 << 16
 SWITCH = 6.0
 #: A word's evidence for or against a language is bounded by this.
 CLIP = 5.0
 #: A language uses a script if this share of its letters is of it.
 SCRIPT_SHARE = 0.02
-#: Words a worker remembers; texts taken together.
-CACHE_WORDS, TOGETHER_BYTES = 100_000, 6 << 20
+#: Words a worker remembers (fewer of many languages); texts taken together; words times languages looked at at once.
+CACHE_WORDS, TOGETHER_BYTES, CELLS = 100_000, 6 << 20, 1 << 23
 #: Words whose n-grams are looked at in one step.
 PART_WORDS = 20_000
 #: First code points of scripts; a script reaches to the next entry.
@@ -48,11 +51,25 @@ SCRIPTS = [
 ]
 NAMES = sorted({name for _, name in SCRIPTS})
 WORD = re.compile(r"[^\W\d_]+")
+#: Characters beyond Latin letters and common signs: only texts with some can have words of several scripts.
+BEYOND_LATIN = re.compile(r"[^\x00-\u036f\u1e00-\u1eff\u2000-\u20cf\ufb00-\ufb1c]").search
+
+
+def _script_words() -> re.Pattern:
+    """Words that end where the script changes."""
+    ranges: dict[str, str] = {}
+    for (lo, name), hi in zip(SCRIPTS, [x for x, _ in SCRIPTS[1:]] + [0x110000], strict=True):
+        ranges[name] = ranges.get(name, "") + f"\\U{lo:08x}-\\U{hi - 1:08x}"
+    return re.compile("|".join(f"(?:(?![\\W\\d_])[{r}])+" for r in ranges.values()))
+
+
+SCRIPT_WORD = _script_words()
 
 
 def words_of(text: str) -> list[str]:
     """Lower-case words of letters; number signs that count as word characters are no letters."""
-    found = WORD.findall(text.lower())
+    low = text.lower()
+    found = (SCRIPT_WORD if not low.isascii() and BEYOND_LATIN(low) else WORD).findall(low)
     if found and not any(c.isalpha() for c in found[0]):
         found = [w for w in found if any(c.isalpha() for c in w)]
     return found
@@ -116,7 +133,7 @@ class Model:
         import numpy as np
 
         self.langs = langs
-        share = (grams + 0.5) / (grams.sum(1, keepdims=True) + 0.5 * BUCKETS)
+        share = (grams.astype(np.float64) + 0.5) / (grams.sum(1, keepdims=True, dtype=np.float64) + 0.5 * BUCKETS)
         self.logs = np.ascontiguousarray(np.log(share).T.astype(np.float32))
         used = scripts >= SCRIPT_SHARE * np.maximum(1, scripts.sum(1, keepdims=True))
         used[:, ~used.any(0)] = True  # a script that no language uses rules none out
@@ -143,19 +160,19 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
 
     known = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id").alias("doc_id"))
     known = known.filter(~held_out_by(4, 2)).filter("lang is not null and text is not null")
-    most = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
-    if not most:
-        return None
-    share = F.create_map(*[F.lit(x) for r in most for x in (r["lang"], min(1.0, rows / r["n"]))])
-    pick = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)) * (1 << 20)
-    counts = known.filter(pick).select("lang", "text").mapInArrow(_counts, "lang string, bucket long, n long")
-    sums = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(set(sums.column(0).to_pylist()))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n")).alias("share"))
+    picked = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    taught = known.join(F.broadcast(share), "lang").filter(picked).select("lang", "text")  # a row for each language
+    counts = taught.mapInArrow(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    packed = counts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("x"))  # BUCKETS entries at most
+    got = packed.select("lang", F.col("x.bucket").alias("bucket"), F.col("x.n").alias("n")).orderBy("lang").toArrow()
+    langs = got.column(0).to_pylist()
     if not langs:
         return None
-    dense = np.zeros((len(langs), BUCKETS + len(NAMES)))
-    number = {name: k for k, name in enumerate(langs)}
-    dense[[number[x] for x in sums.column(0).to_pylist()], sums.column(1).to_numpy()] = sums.column(2).to_numpy()
+    dense = np.zeros((len(langs), BUCKETS + len(NAMES)), np.float32)
+    for k in range(len(langs)):
+        dense[k, got.column(1)[k].values.to_numpy()] = got.column(2)[k].values.to_numpy()
     return Model(langs, dense[:, :BUCKETS], dense[:, BUCKETS:])
 
 
@@ -196,6 +213,37 @@ def viterbi(scores, lengths, penalty: float = SWITCH):
     return out
 
 
+def viterbi_in_parts(parts, scores_of, n_langs: int, penalty: float = SWITCH):
+    """The labels of one long text's words, part by part from the last one: the same as of viterbi.
+
+    parts: the text's words in parts; scores_of(words) gives their scores.
+    """
+    import numpy as np
+
+    def forward(scores, state):
+        stay, best = np.zeros(scores.shape, bool), np.zeros(len(scores), np.int16)
+        for t, seen in enumerate(scores):
+            top = state.max() - penalty
+            stay[t], best[t] = state >= top, state.argmax()
+            state = np.maximum(state, top) + seen
+        return stay, best, state
+
+    state, starts = np.zeros(n_langs, np.float32), []
+    for part in parts:
+        starts.append(state)
+        state = forward(scores_of(part), state)[2]
+    current = int(state.argmax())
+    for part, start in zip(reversed(parts), reversed(starts), strict=True):
+        scores = scores_of(part)
+        stay, best, _ = forward(scores, start)
+        label = np.zeros(len(part), np.int64)
+        for t in range(len(part) - 1, -1, -1):
+            label[t] = current
+            if not stay[t, current]:
+                current = int(best[t])
+        yield label, scores
+
+
 class Judge:
     """Labels texts with a model; a worker's memory of the words it has scored."""
 
@@ -226,34 +274,67 @@ class Judge:
 
         n, m = len(texts), self.model
         lang, score, runs = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
-        words = [words_of(t or "") for t in texts] if m else [[] for _ in texts]
-        lengths = np.array([len(w) for w in words], np.int64)
-        if not lengths.sum():
+        if not m:
             return lang, score, runs
-        if len(self.known) > CACHE_WORDS:
+        most = max(1, CELLS // len(m.langs))
+        held, words, size = [], [], 0
+        for k in range(n + 1):
+            found = words_of(texts[k] or "") if k < n else []
+            if held and (k == n or size + len(found) > most):
+                some_lang, some_score, some_runs = self._judged(words, spans, most)
+                for j, a, b, c in zip(held, some_lang, some_score, some_runs, strict=True):
+                    lang[j], score[j], runs[j] = a, b, c
+                held, words, size = [], [], 0
+            if found:
+                held.append(k)
+                words.append(found)
+                size += len(found)
+        return lang, score, runs
+
+    def _scores(self, words: list[str]):
+        if len(self.known) > min(CACHE_WORDS, max(10_000, CELLS // len(self.model.langs))):
             self.known.clear()
             self.size = 0
-        flat = [w for ws in words for w in ws]
-        numbers = self._numbers(flat)  # may replace the table
-        scores = self.rows[numbers]
-        label = viterbi(scores, lengths).astype(np.int64)
+        numbers = self._numbers(words)  # may replace the table
+        return self.rows[numbers]
+
+    @staticmethod
+    def _odds(scores, label):
+        import numpy as np
+
+        return np.exp(scores[np.arange(len(label)), label]) / np.exp(scores).sum(1)
+
+    def _judged(self, words: list[list[str]], spans: bool, most: int):
+        """Of texts with words that hold ``most`` words together, or of one that holds more."""
+        import numpy as np
+
+        m, n, k = self.model, len(words), len(self.model.langs)
+        lengths = np.array([len(w) for w in words], np.int64)
+        flat = words[0] if n == 1 else [w for ws in words for w in ws]
+        if len(flat) <= most:
+            scores = self._scores(flat)
+            label = viterbi(scores, lengths).astype(np.int64)
+            odds = self._odds(scores, label)
+        else:
+            parts = [flat[a : a + most] for a in range(0, len(flat), most)]
+            done = [(label, self._odds(scores, label)) for label, scores in viterbi_in_parts(parts, self._scores, k)][::-1]
+            label, odds = (np.concatenate(x) for x in zip(*done, strict=True))
         letters = np.fromiter(map(len, flat), np.int64, len(flat))
-        text, k = np.repeat(np.arange(n), lengths), len(m.langs)
+        text = np.repeat(np.arange(n), lengths)
         each = np.bincount(text * k + label, weights=letters, minlength=n * k).reshape(n, k)
         top = each.argmax(1)
-        odds = np.exp(scores[np.arange(len(flat)), label]) / np.exp(scores).sum(1)
         mine = label == top[text]
         weight = np.bincount(text[mine], weights=letters[mine], minlength=n)
         sure = np.bincount(text[mine], weights=(odds * letters)[mine], minlength=n) / np.maximum(1, weight)
-        score = np.where(lengths > 0, each.max(1) / np.maximum(1, each.sum(1)) * sure, 0.0)
-        lang = [m.langs[x] if c else UNKNOWN for x, c in zip(top.tolist(), lengths.tolist(), strict=True)]
+        score = np.minimum(1.0, each.max(1) / np.maximum(1, each.sum(1)) * sure)
+        runs: list[list[dict]] = [[] for _ in range(n)]
         if spans:
             cut = np.flatnonzero(np.concatenate([[True], (label[1:] != label[:-1]) | (text[1:] != text[:-1])])).tolist()
             first = (np.cumsum(lengths) - lengths).tolist()
             for a, b in zip(cut, [*cut[1:], len(label)], strict=True):
                 t = int(text[a])
                 runs[t].append({"lang": m.langs[label[a]], "lo": a - first[t], "hi": b - first[t]})
-        return lang, np.minimum(score, 1.0), runs
+        return [m.langs[x] for x in top.tolist()], score.tolist(), runs
 
 
 def together(batches: Iterator[pa.RecordBatch], text_at: int, most: int = TOGETHER_BYTES) -> Iterator[list[pa.RecordBatch]]:

@@ -64,3 +64,55 @@ def test_nothing_to_learn(spark):
     assert op.predict(none, None).first().lang_pred == "und"
     empty = none.filter("doc_id > 5")
     assert op.predict(empty, op.train(empty)).collect() == []
+
+
+def test_long_texts_in_parts(spark, monkeypatch):
+    """Labels of a text beyond the bound are those of one pass; texts taken together in small groups too."""
+    rng = np.random.default_rng(3)
+    for k in range(30):
+        n = int(rng.integers(1, 60))
+        scores = -rng.exponential(2, (n, 3)).astype(np.float32)
+        cuts = [list(range(n))[a : a + 7] for a in range(0, n, 7)]
+        parts = list(op.viterbi_in_parts(cuts, lambda part, scores=scores: scores[part], 3, 2.0))[::-1]
+        assert np.concatenate([label for label, _ in parts]).tolist() == op.viterbi(scores, np.array([n]), 2.0).tolist()
+    df = docs(spark)
+    model = op.train(df)
+    texts = [r.text for r in df.collect()] + [" ".join(WORDS["en"] * 9 + WORDS["ru"] * 9 + WORDS["de"] * 9)]
+    want = op.Judge(model).judge(texts, True)
+    monkeypatch.setattr(op, "CELLS", 100)
+    got = op.Judge(model).judge(texts, True)
+    assert got[0] == want[0] and got[2] == want[2] and np.allclose(got[1], want[1])
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k, f"{chr(97 + k % 26)}{chr(97 + k // 26)}x " * 5, f"l{k:03d}") for k in range(300)]
+    model = op.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.langs) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(300))
+
+
+def test_words_end_where_scripts_change():
+    assert op.words_of("abcмир日本 été") == ["abc", "мир", "日本", "été"]
+    assert op.words_of("l'été, naïve") == ["l", "été", "naïve"]
+
+
+def test_query_equals_plain_code(spark, tmp_path):
+    """The query's labels against a search over all labellings' best sums, word by word, without arrays."""
+    df = docs(spark).drop("score")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    model = op.train(df)
+
+    def plain(text):
+        words = op.words_of(text or "")
+        if not words:
+            return "und"
+        rows = model.scores(words).tolist()
+        best = [(x, [k]) for k, x in enumerate(rows[0])]
+        for row in rows[1:]:
+            ways = [[(b[0] + x - (op.SWITCH if j != k else 0), j != k, b[1]) for j, b in enumerate(best)] for k, x in enumerate(row)]
+            best = [(m[0], [*m[2], k]) for k, m in enumerate(min(w, key=lambda a: (-a[0], a[1])) for w in ways)]
+        path = max(best, key=lambda b: b[0])[1]
+        letters = [sum(len(w) for w, p in zip(words, path, strict=True) if p == k) for k in range(len(model.langs))]
+        return model.langs[letters.index(max(letters))]
+
+    for r in op.query(spark, str(tmp_path)).join(df.select("doc_id", "text"), "doc_id").collect():
+        assert r.lang_pred == plain(r.text)
