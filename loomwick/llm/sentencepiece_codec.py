@@ -7,7 +7,8 @@ tie, the one whose last piece is longest wins.
 
 Spaces stand for the model's word mark, and a text gets one in front.  As no piece goes on from a word into the
 next space, texts fall apart before each run of spaces; each distinct part is segmented once, many parts at a
-time in arrays, and remembered.  A word mark that a text holds itself is written in bytes, so decoding gives back
+time in arrays, and remembered.  A part of over ``LONG_PART`` characters (a text without spaces) is segmented alone, with
+five bytes of back pointers a byte of text and scores of the last bytes only, and not remembered.  A word mark that a text holds itself is written in bytes, so decoding gives back
 every text exactly.
 
 Models may be of any type with scored pieces.  For a model trained by merges the scores are its merge ranks, so
@@ -23,6 +24,7 @@ import hashlib
 import re
 import zlib
 from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +38,8 @@ MARK = "▁"
 UNSPELLED = 10.0
 #: Parts a generation of a worker's memory holds; bytes of parts segmented at once.
 CACHE_PARTS, TOGETHER = 120_000, 1 << 19
+#: Characters above which a part is segmented alone; bytes whose scores such a pass remembers, more than any piece has.
+LONG_PART, RING = 1 << 14, 1 << 10
 #: Rows of an output batch.
 OUT_ROWS = 128
 PART = re.compile(r" *[^ ]+| +")
@@ -114,6 +118,8 @@ class Codec:
         self.split = PART.findall if not any(re.search("[^ ] ", p) for p in texts) else (lambda t: [t] if t else [])
         self.spelled = {p for p in texts if len(p) == 1}
         self.unspelled = min(s for _, _, s in pieces) - UNSPELLED
+        if max(len(p) for p, _, _ in pieces) >= min(RING, 256):
+            raise ValueError("the model has a piece of 256 bytes or more")
         self.auto = Automaton(pieces)
         self.piece_size = np.array([len(b) for b in self.bytes_of], np.int64)
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
@@ -190,6 +196,37 @@ class Codec:
             result[k] = raw[(row + 1) * width - 4 * ends[row] : (row + 1) * width]
         return result
 
+    def _segment_long(self, part: str) -> bytes:
+        """The ids of one long part: the same pass byte by byte, whose memory is a few bytes for each byte of text."""
+        auto, raw = self.auto, part.encode("utf-8", "surrogatepass")
+        goto, classes, first, link, own = auto.goto.item, auto.classes.tolist(), auto.first.item, auto.link.item, auto.own.item
+        sizes, scores, ids, mask = auto.sizes.tolist(), auto.scores.tolist(), auto.ids.tolist(), RING - 1
+        unspelled, bytes_of, state = self.unspelled, self.byte_ids.tolist(), 0
+        best, back, step = [0.0] * RING, array("i", bytes(4 * (len(raw) + 1))), bytearray(len(raw) + 1)
+        t = 0
+        for c in part:
+            spelled = c in self.spelled
+            for k, byte in enumerate(c.encode("utf-8", "surrogatepass")):
+                t += 1
+                state = goto(state, classes[byte])
+                top, name, size = float("-inf"), 0, 1
+                if not spelled:
+                    top, name = best[(t - 1) & mask] + (0.0 if k else unspelled), bytes_of[byte]
+                out = first(state)
+                while out:
+                    piece = own(out)
+                    value = best[(t - sizes[piece]) & mask] + scores[piece]
+                    if value > top:
+                        top, name, size = value, ids[piece], sizes[piece]
+                    out = link(out)
+                best[t & mask], back[t], step[t] = top, name, size
+        found = array("i")
+        while t:
+            found.append(back[t])
+            t -= step[t]
+        found.reverse()
+        return found.tobytes()
+
     def _learn(self, parts: list[str]) -> None:
         new = []
         for p in dict.fromkeys(parts):
@@ -216,10 +253,12 @@ class Codec:
         if len(self.cache) >= CACHE_PARTS:
             self.cache, self.older = {}, self.cache
         parts = [self.split(" " + t) if t else [] for t in texts]
-        missing = [p for ps in parts for p in ps if p not in self.cache]
+        long = {p: self._segment_long(p) for ps in parts for p in ps if len(p) > LONG_PART} if any(t and len(t) > LONG_PART for t in texts) else {}
+        missing = [p for ps in parts for p in ps if p not in self.cache and p not in long]
         if missing:
             self._learn(missing)
-        return [b"".join(map(self.cache.__getitem__, ps)) for ps in parts]
+        known = ChainMap(long, self.cache) if long else self.cache
+        return [b"".join(map(known.__getitem__, ps)) for ps in parts]
 
     def decode_many(self, lists: list[bytes]) -> list[str]:
         """The texts of lists of native 32-bit ids."""
@@ -267,6 +306,34 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     return out.mapInArrow(_encode(model, docs.columns.index(text_col)), out.schema)
 
 
+def _encode_whole(path: str, text_at: int):
+    """Appends ids, their number, and the sha256 of the text that they decode to."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        worker = codec(path)
+        for batch in batches:
+            for a in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(a, OUT_ROWS)
+                ids = worker.encode(part.column(text_at).to_pylist())
+                n = [len(x) // 4 for x in ids]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                digests = [hashlib.sha256(t.encode()).hexdigest() for t in worker.decode_many(ids)]
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(n, pa.int64()), pa.array(digests, pa.string())], [*part.schema.names, "ids", "n_tokens", "decoded_sha256"])
+        worker.forget()
+
+    return run
+
+
+def encode_and_decode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+    """docs with ids, n_tokens and decoded_sha256, the digest of the text that the ids spell; one pass, one Python function."""
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    out = docs.withColumns({"ids": F.array().cast("array<int>"), "n_tokens": F.lit(0).cast("long"), "decoded_sha256": F.lit("")})
+    return docs.mapInArrow(_encode_whole(model, docs.columns.index(text_col)), out.schema)
+
+
 def _decode(path: str):
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,6 +51,18 @@ def test_equals_brute_force_and_round_trips(model):
         assert codec.decode(ids) == text
 
 
+def test_long_parts_alone(monkeypatch):
+    """Parts of any length give the same ids by the pass for long ones; a long text without spaces is one part."""
+    want = op.Codec(op.default_model()).encode(texts())
+    monkeypatch.setattr(op, "LONG_PART", 0)
+    codec = op.Codec(op.default_model())
+    assert codec.encode(texts()) == want and not codec.cache
+    monkeypatch.undo()
+    long = "本語theÉté▁xq12" * 30_000
+    (ids,) = codec.encode([long])
+    assert not codec.cache and codec.decode_many([ids]) == [long]
+
+
 def test_generations_of_memory(monkeypatch):
     want = op.Codec(op.default_model()).encode(texts())
     monkeypatch.setattr(op, "CACHE_PARTS", 10)
