@@ -39,7 +39,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template noscript iframe noframes noembed xmp".split())
+RAW = frozenset("script style title textarea template iframe noframes noembed xmp".split())
 #: Elements of drawings and formulas: there "/>" closes any element, and the start of a block ends them.
 FOREIGN = frozenset(("svg", "math"))
 FOREIGN_HOLDS_BLOCKS = frozenset(("foreignobject", "annotation-xml", "desc", "mtext"))
@@ -142,6 +142,8 @@ class Blocks:
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(html, at)
                 if end is None:
                     return
+                if name == "xmp":  # shown as it stands
+                    self.text.append(html[at : end.start()])
                 gt = html.find(">", end.end())
                 at = n if gt < 0 else gt + 1
             else:

@@ -12,6 +12,8 @@ from loomwick.llm import html_extraction as op
         ("<article><p>area <math><mi>x</mi><mo>+</mo><mn>1</mn></math> end</p></article>", "area x+1 end"),
         ("<article><p>a</p><object data=x><p>fallback</p></object><p>b</p></article>", "a fallback b"),
         ("<article><p>a</p><object data=x><p>b</p></article>", "a b"),
+        ("<article><p>a</p><noscript><p>shown without scripts</p></noscript><p>b</p></article>", "a shown without scripts b"),
+        ("<article><p>a</p><xmp>x <b> y</xmp><p>b</p></article>", "a x <b> y b"),
         ("<article><p>a</p><select><option>one<option>two<p>b</p></article>", "a b"),
         ("<article><p>a</p><select><option>one<option>two</select><p>b</p></article>", "a b"),
     ],
