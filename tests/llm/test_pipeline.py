@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_decontamination import words as bench_words
 
 import corpus_pipeline
@@ -122,3 +123,37 @@ def test_stages_keep_columns_and_take_empty_tables(spark, folder):
             d = out.cache()
         assert (d.count() > 0) == (source is docs)
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "language ID" and suffix_dedup.LENGTH == 200
+
+
+def test_names_of_columns_and_rows_that_differ_elsewhere(spark, folder):
+    """Columns called like a stage's own pass through; of rows with one id and one text the first by their other columns stays."""
+    own = "__id __th th id of key root c0 c1 c7 n spans __spans size fp keys h1 h2 heavy_key n_words hit_spans".split()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.selectExpr(*[f"concat('{c}', doc_id) as `{c}`" for c in own], "*", "map('a', 1) as m", "'mine' as decoded", "7 as n_tokens")
+    twice = docs.filter("doc_id = 50").selectExpr("*").withColumn("fp", F.lit("zz")).unionByName(docs)
+    twice = twice.unionByName(docs.filter("doc_id = 50").withColumn("fp", F.lit("aa")))
+    d = twice
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, d, folder)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == docs.columns
+        path = f"{folder}/{name.replace(' ', '_')}"
+        out.write.parquet(path)
+        d = spark.read.parquet(path)
+    rows = d.collect()
+    assert len(rows) > 50 and sum(r.doc_id == 50 for r in rows) == 1
+    for r in rows:
+        assert all(r[c] == (f"{c}{r.doc_id}" if r.doc_id is not None else None) for c in own if (c, r.doc_id) != ("fp", 50))
+        assert r.m == {"a": 1} and r.decoded == "mine" and r.n_tokens == len(r.ids)
+    assert next(r.fp for r in rows if r.doc_id == 50) == "aa"
+
+
+def test_intermediate_tables_go(spark, folder):
+    import os
+
+    from loomwick.llm import common
+
+    root = common.shared_dir(spark).removeprefix("file:").replace("//", "/")
+    before = set(os.listdir(root))
+    out = corpus_pipeline.run(spark, folder)
+    assert len(set(os.listdir(root)) - before) == 1 and out.count() > 0
