@@ -5,7 +5,9 @@ reads them again as the next one's docs.  All stages but the last return the col
 stage shortens get a new ``n_chars`` where docs has it.  Further columns pass through.
 
 Cases: an empty table goes through every stage as an empty table; a null text has no letter, so the first stage
-drops it; of equal rows the second stage keeps one.
+drops it; of rows with one id and one text the second stage keeps that whose other columns come first as JSON text, so
+of equal rows one.  Columns of any name pass through: a stage calls them by numbers while it works.  The last stage
+adds ``ids``, ``n_tokens`` and ``decoded_sha256`` and replaces columns of these names.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwick.llm import decontamination, language_id, near_copies, sentencepiece_codec, suffix_dedup
-from loomwick.llm.common import materialise, released, table
+from loomwick.llm.common import drop_path, made_here, materialise, released, table
 
 #: A document whose language is less sure than this is rejected.  Scores are relative to the best learned language, so
 #: undecided text still scores about 1/k for k languages: with fewer than ten, only texts without letters fall below.
@@ -30,10 +32,9 @@ def _resized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
-def _rewritten(docs: DataFrame, columns: list[str], rewrite, extra: list[str]) -> DataFrame:
-    """docs with text changed by rewrite(text, *extra columns)."""
+def _rewritten(docs: DataFrame, columns: list[str], at: int, rewrite, extra: list[str]) -> DataFrame:
+    """docs with the text, the column of number at, changed by rewrite(text, *extra columns)."""
     wide = docs.select(*columns, *extra)
-    at = columns.index("text")
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,30 +71,43 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.mapInArrow(run, docs.schema)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with its columns called c0, c1, ..., and these names: no name of a stage's own can clash with them."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each component of near copies the document with the smallest id stays.
 
     Near copies have a similarity of 0.8 or more by five-word shingles, compared exactly; the radius of 4 bits and the
     four-word shingles of op9 bind op9 alone.  Documents without an id count after all others, by a hash of the text.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows, names = _numbered(docs)
+    text = F.coalesce(F.col(names[docs.columns.index("text")]).cast("string"), F.lit(""))
     unnamed = F.shiftrightunsigned(F.xxhash64(text), 1).bitwiseOR(F.lit(1 << 62))
-    named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), unnamed), "__th": F.xxhash64(text)})
-    found = near_copies.near_copies(named.select(F.col("__id").alias("doc_id"), "text"))
-    rows = found.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
-    stay = rows.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("x"))
+    given = F.col(names[docs.columns.index("doc_id")]).cast("long")
+    named = rows.withColumns({"doc_id": F.coalesce(given, unnamed), "th": F.xxhash64(text), "text": text})
+    found = near_copies.near_copies(named.select("doc_id", "text"))
+    seen = found.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    stay = seen.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("x"))
     stay = materialise(stay.select("x.*"), "stay")
-    kept = named.join(stay.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")), ["__id", "__th"], "left_semi")
-    if stay.filter("n > 1").take(1):  # the same row more than once
-        kept = kept.dropDuplicates(["__id", "__th"])
-    return kept.select(*docs.columns)
+    key = ["doc_id", "th"]
+    once = named.join(stay.filter("n = 1").select(*key), key, "left_semi").select(*names)
+    if stay.filter("n > 1").take(1):  # rows with one id and one text
+        several = named.join(stay.filter("n > 1").select(*key), key, "left_semi")
+        first = several.groupBy(*key).agg(F.min_by(F.struct(*names), F.to_json(F.struct(*names), {"ignoreNullFields": "false"})).alias("x"))
+        once = once.unionByName(first.select("x.*"))
+    return once.toDF(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated passages go from every text, in whole characters."""
-    found = suffix_dedup.repeats(docs).withColumnsRenamed({"doc_id": "__of", "th": "__key", "spans": "__spans"})
-    keyed = docs.withColumns({"__th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), "__id": F.col("doc_id").cast("long")})
-    joined = keyed.join(found, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__th") == F.col("__key")), "left").select(*docs.columns, "__spans")
+    found = suffix_dedup.repeats(docs).withColumnsRenamed({"doc_id": "of", "th": "key"})
+    rows, names = _numbered(docs)
+    text = F.col(names[docs.columns.index("text")]).cast("string")
+    keyed = rows.withColumns({names[docs.columns.index("text")]: text, "th": F.xxhash64(F.coalesce(text, F.lit(""))), "id": F.col(names[docs.columns.index("doc_id")]).cast("long")})
+    joined = keyed.join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("key")), "left").select(*names, "spans")
 
     def rewrite(text, spans):
         if not spans:
@@ -102,7 +116,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         runs = suffix_dedup.whole_characters(raw, suffix_dedup.merged([(s["lo"], s["hi"]) for s in spans]))
         return suffix_dedup.kept_bytes(raw, runs).decode()
 
-    return _resized(_rewritten(joined, docs.columns, rewrite, ["__spans"]))
+    return _resized(_rewritten(joined, names, docs.columns.index("text"), rewrite, ["spans"]).toDF(*docs.columns))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -113,9 +127,10 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece: ids of every text, their number, and the sha256 of the text that the ids decode to."""
     model = sentencepiece_codec.default_model()
-    encoded = sentencepiece_codec.encode(docs.withColumnRenamed("decoded", "__decoded"), model)
-    back = sentencepiece_codec.decode(encoded, model).withColumns({"n_tokens": F.size("ids").cast("long"), "decoded_sha256": F.sha2("decoded", 256)})
-    return back.drop("decoded").withColumnRenamed("__decoded", "decoded")
+    kept = [c for c in docs.columns if c not in ("ids", "n_tokens", "decoded_sha256")]
+    rows, names = _numbered(docs.select(*kept))
+    back = sentencepiece_codec.encode_and_decode(rows, model, names[kept.index("text")])
+    return back.toDF(*kept, "ids", "n_tokens", "decoded_sha256")
 
 
 STAGES = [
@@ -131,7 +146,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows after all stages.  A stage's intermediate tables, and the rows before it, are deleted once its own are written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.lower().replace(" ", "-"))
+        with made_here() as paths:
+            docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.lower().replace(" ", "-"))
+        for path in before + paths[:-1]:
+            drop_path(spark, path)
+        before = paths[-1:]
     return docs
