@@ -57,6 +57,12 @@ def parse_free_form(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.to_datetime(part.map(one, na_action="ignore"), errors="coerce")
 
 
+def parse_any(text: Column) -> Column:
+    """parse_date, and for what that leaves null the free forms: such rows alone carry their text to Python."""
+    fast = parse_date(text)
+    return F.coalesce(fast, parse_free_form(F.when(fast.isNull() & text.rlike(r"\d"), strip(text))))
+
+
 def listing_date(fields: Column, now: Column) -> Column:
     """The first readable of several date fields (an array of strings), for pages in Chinese.
 

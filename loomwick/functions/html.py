@@ -17,6 +17,8 @@ from loomwick.types import plain, struct
 #: A tag ends at the first >; a < before it starts over.  Attributes come double, single or unquoted.
 TAG = r"<([\p{L}\p{N}:_\-]++)([^<>]*+)>"
 ATTR = r"""(?<![\p{L}\p{N}_:\-])([\p{L}\p{N}_:\-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
+#: How much of an element's text, and of a page's head, is looked at.
+TEXT_LIMIT, HEAD_LIMIT = 2_000_000, 60_000
 #: Meta keys that name a page's picture, in order.
 IMAGE_KEYS = ["og:image", "og:image:url", "twitter:image", "twitter:image:src"]
 
@@ -44,7 +46,7 @@ def tag_text(html: Column, name: str, key: str | None = None, value: str | None
         opening = rf"""<{name}(?=[\s/>])(?=[^<>]*?[\s"'/]{key}\s*=\s*["']?{value}(?:["'\s>]))[^<>]*+>"""
     pattern = rf"(?is){opening}(.*?)</{name}"
     found = F.coalesce(html, F.lit("")).rlike(pattern)
-    return F.when(found, F.regexp_extract(F.coalesce(html, F.lit("")), pattern, 1))
+    return F.when(found, F.substring(F.regexp_extract(F.coalesce(html, F.lit("")), pattern, 1), 1, TEXT_LIMIT))
 
 
 def page_title(html: Column) -> Column:
@@ -70,7 +72,7 @@ def thumb_candidates(html: Column, page_url: Column, limit: int = 24) -> Column:
         lambda t: (F.coalesce(attribute(t["raw"], "src"), F.lit("")) != "")
         & ~F.greatest(dimension(attribute(t["raw"], "width")), dimension(attribute(t["raw"], "height"))).between(1, 199),
     )
-    raws = F.slice(F.concat(meta_values(html, IMAGE_KEYS), F.transform(images, lambda t: attribute(t["raw"], "src"))), 1, limit + 1)
+    raws = F.slice(F.concat(meta_values(F.substring(html, 1, HEAD_LIMIT), IMAGE_KEYS), F.transform(images, lambda t: attribute(t["raw"], "src"))), 1, limit + 1)
     return joined_urls(page_url, raws)
 
 
@@ -126,6 +128,83 @@ def html_to_text(pages: pd.Series) -> pd.Series:
     return pages.map(one, na_action="ignore")
 
 
+class Tree:
+    """The elements of a page as rows: number, parent, depth, name, attributes, and where in the page each starts and ends.
+
+    Void elements have no content; an end tag closes what is open inside its element; stray end tags are passed over;
+    what is open at the end of the page ends there.
+    """
+
+    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+    def __init__(self, page: str):
+        from html.parser import HTMLParser
+
+        tree = self
+        self.rows: list[list] = []
+
+        class Reader(HTMLParser):
+            def at(self):
+                line, column = self.getpos()
+                return starts[line - 1] + column
+
+            def handle_starttag(self, tag, attrs):
+                k, begin = len(tree.rows), self.at()
+                end = begin + len(self.get_starttag_text())
+                parent = tree.open[-1] if tree.open else -1
+                named = {a: v or "" for a, v in reversed(attrs)}
+                tree.rows.append([k, parent, len(tree.open), tag, named, end, end])
+                if tag not in Tree.VOID:
+                    tree.open.append(k)
+
+            def handle_startendtag(self, tag, attrs):
+                self.handle_starttag(tag, attrs)
+                if tag not in Tree.VOID:
+                    tree.open.pop()
+
+            def handle_endtag(self, tag):
+                if any(tree.rows[k][3] == tag for k in tree.open):
+                    while tree.rows[(k := tree.open.pop())][3] != tag:
+                        tree.rows[k][6] = self.at()
+                    tree.rows[k][6] = self.at()
+
+        starts = [0]
+        for line in page.split("\n"):
+            starts.append(starts[-1] + len(line) + 1)
+        self.open: list[int] = []
+        reader = Reader(convert_charrefs=False)
+        reader.feed(page)
+        reader.close()
+        for k in self.open:
+            self.rows[k][6] = len(page)
+
+
+@udtf(returnType=struct("pos int, parent int, depth int, name string, attrs map<string,string>, inner string"))
+class Elements:
+    """Every element of a page in document order, with what stands between its tags."""
+
+    def eval(self, page: str):
+        for k, parent, depth, name, attrs, start, end in Tree(page or "").rows:
+            yield k, parent, depth, name, attrs, (page or "")[start:end]
+
+
+@pandas_udf(plain("string"))
+def region(pages: pd.Series) -> pd.Series:
+    """The inside of a page's main region: the first article, main or role=main, else the body, else the page."""
+
+    def one(page):
+        rows = Tree(page).rows
+        tests = (lambda r: r[3] == "article", lambda r: r[3] == "main", lambda r: r[4].get("role") == "main", lambda r: r[3] == "body")
+        found = next((r for test in tests for r in rows if test(r)), None)
+        return page if found is None else page[found[5] : found[6]]
+
+    return pages.map(one, na_action="ignore")
+
+
+def region_text(page: Column) -> Column:
+    return html_to_text(region(page))
+
+
 @udtf(returnType=struct("pos int, path string, node string"))
 class JsonObjects:
     """Every object inside a JSON text in document order, as text; nothing for broken JSON."""

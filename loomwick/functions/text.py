@@ -132,3 +132,35 @@ def classify_body(body: Column, meta: Column, least: int = 200) -> Column:
         .when((meta != "") | (body != ""), pair(F.when(meta != "", meta).otherwise(body), "meta"))
         .otherwise(pair(F.lit(None).cast("string"), None))
     )
+
+
+#: A subset of our own: common characters whose simplified and traditional forms differ one to one.
+SIMPLIFIED = "们这个来时说对国学会过还没为开点门问间关东车长马鸟鱼书买卖读写电话听见观现实际报纸网络软认识让请谢语词译文华汉万与专业丝两严丧丰临丽举义乌乐习乡亚产亲仅从仓仪价众优伟传伤伦伪体余佣侠侣侥侦侧侨债倾储儿兑党兰兴养兽军农冯冲决况冻净凉减凤凭凯击刘则刚创删别剑剧劝办务动励劲劳势勋区医协单卢卫厂厅历厉压厌厕县发变叶号吓员响团园围图圆圣场坏块坚坛垒垦"
+TRADITIONAL = "們這個來時說對國學會過還沒為開點門問間關東車長馬鳥魚書買賣讀寫電話聽見觀現實際報紙網絡軟認識讓請謝語詞譯文華漢萬與專業絲兩嚴喪豐臨麗舉義烏樂習鄉亞產親僅從倉儀價眾優偉傳傷倫偽體餘傭俠侶僥偵側僑債傾儲兒兌黨蘭興養獸軍農馮衝決況凍淨涼減鳳憑凱擊劉則剛創刪別劍劇勸辦務動勵勁勞勢勳區醫協單盧衛廠廳歷厲壓厭廁縣發變葉號嚇員響團園圍圖圓聖場壞塊堅壇壘墾"
+HAN = r"[\x{3400}-\x{9fff}\x{f900}-\x{faff}]"
+
+
+def key_text(s: Column) -> Column:
+    """What is left of a text for comparing: letters and numbers in lower case, in simplified form."""
+    return F.translate(F.regexp_replace(F.lower(F.coalesce(s, F.lit(""))), r"(?U)[^\p{L}\p{N}]+", ""), TRADITIONAL, SIMPLIFIED)
+
+
+def variant(s: Column) -> Column:
+    """hans or hant by which forms of the subset prevail; null where neither does."""
+    count = lambda chars: F.length(F.coalesce(s, F.lit(""))) - F.length(F.translate(F.coalesce(s, F.lit("")), chars, ""))
+    same = "".join(a for a, b in zip(SIMPLIFIED, TRADITIONAL, strict=True) if a == b)
+    only = lambda chars: "".join(c for c in chars if c not in same)
+    simple, full = count(only(SIMPLIFIED)), count(only(TRADITIONAL))
+    return F.when(simple > full, "hans").when(full > simple, "hant")
+
+
+def to_traditional(s: Column) -> Column:
+    """The subset's simplified characters in traditional form; words are not exchanged."""
+    return F.translate(s, SIMPLIFIED, TRADITIONAL)
+
+
+def needs_translation(s: Column, least: float = 0.1) -> Column:
+    """Whether a text that has letters has few Han characters among them."""
+    letters = F.length(F.regexp_replace(F.coalesce(s, F.lit("")), r"(?U)\P{L}+", ""))
+    han = F.regexp_count(F.coalesce(s, F.lit("")), F.lit(HAN))
+    return (letters > 0) & (han < least * letters)

@@ -29,14 +29,18 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([T.StructField("ord", T.LongType()), *ITEM.fields])
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    # one document a file: read whole, told apart by its first character
-    text = spark.read.text(path, wholetext=True).select(strip(F.col("value")).alias("doc"))
+    return archive_of(spark.read.text(path, wholetext=True), path)
+
+
+def archive_of(files: DataFrame, name: str = "the file", value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """keep, ord and the item fields of whole JSON documents, which their first character tells apart."""
+    text = files.select(*keep, strip(F.col(value)).alias("doc"))
     tree = F.try_parse_json("doc")
-    broken = F.raise_error(F.lit(f"{path} is no archive"))
+    broken = F.raise_error(F.lit(f"{name} is no archive"))
     listed = F.when(tree.isNull() & (F.col("doc") != ""), broken.cast("string")).when(F.startswith("doc", F.lit("[")), F.col("doc")).otherwise(F.get_json_object("doc", "$.items"))
     members = F.from_json(listed, "array<string>")
-    rows = text.select(F.posexplode(members).alias("ord", "json")).filter(F.startswith(F.ltrim("json"), F.lit("{")))
-    return rows.select(F.col("ord").cast("long").alias("ord"), F.from_json("json", ITEM).alias("r")).select("ord", "r.*")
+    rows = text.select(*keep, F.posexplode(members).alias("ord", "json")).filter(F.startswith(F.ltrim("json"), F.lit("{")))
+    return rows.select(*keep, F.col("ord").cast("long").alias("ord"), F.from_json("json", ITEM).alias("r")).select(*keep, "ord", "r.*")
 
 
 def archive_rows(items: DataFrame) -> DataFrame:
@@ -83,11 +87,15 @@ def write_atomic(path: str, parts) -> None:
 
 def read_inbox(spark: SparkSession, path: str, cutoff: Column, last: int = 500) -> DataFrame:
     """ord, url, added of the last entries that are valid, each url once; credentials and odd schemes are refused."""
-    kind = "struct<urls:array<struct<url:string,added:string>>>"
-    empty = spark.createDataFrame([], "ord long, url string, added timestamp")
     if not _exists(spark, path):
-        return empty
-    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", kind).alias("d"))
+        return spark.createDataFrame([], "ord long, url string, added timestamp")
+    return inbox_of(spark.read.text(path, wholetext=True), cutoff, last)
+
+
+def inbox_of(files: DataFrame, cutoff: Column, last: int = 500) -> DataFrame:
+    """read_inbox of a document's text, in the column value."""
+    kind = "struct<urls:array<struct<url:string,added:string>>>"
+    doc = files.select(F.from_json("value", kind).alias("d"))
     listed = F.coalesce("d.urls", F.array().cast("array<struct<url:string,added:string>>"))
     tail = F.slice(listed, F.greatest(F.lit(1), F.size(listed) - last + 1), F.lit(last))
     rows = doc.select(F.posexplode(tail)).select(F.col("pos").cast("long").alias("ord"), strip(F.coalesce("col.url", F.lit(""))).alias("url"), parse_date(F.col("col.added")).alias("added"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from loomwick.functions import html as H
-from loomwick.functions.dates import parse_date
+from loomwick.functions.dates import parse_any
 from loomwick.functions.text import compact, lines, strip
 from loomwick.functions.url import first_value, host_in, host_of, path_of, query_of, scheme
 from loomwick.types import struct
@@ -93,6 +93,16 @@ def channel_id(page: Column) -> Column:
     return F.coalesce(*[F.when(x != "", x) for x in found])
 
 
+def resolve_channels(feeds: DataFrame, pages: DataFrame) -> DataFrame:
+    """feeds with the addresses of channel pages (youtube_page) replaced by their feeds; pages: url, html.  Others go out as they are.
+
+    A page without a channel id leaves its feed unresolved: the row goes, as there is nothing to fetch.
+    """
+    asked = feeds.filter("youtube_page").join(pages.select("url", channel_id(F.col("html")).alias("cid")), "url")
+    found = asked.filter("cid is not null").withColumn("url", F.concat(F.lit(f"{VIDEO_FEED}?channel_id="), "cid")).select(*feeds.columns)
+    return feeds.filter("not youtube_page").unionByName(found)
+
+
 def preview_url(url: Column) -> Column:
     """The public preview of a channel or post address; null for invitations, private links and other hosts."""
     parts = _segments(url)
@@ -185,13 +195,15 @@ class FeedEntries:
 def parse_rss(bodies: DataFrame, skip_content=()) -> DataFrame:
     """Raw rows of feeds (feed columns ord, title, category, url and the text body): title, link and date all known."""
     rows = bodies.withColumnsRenamed({"title": "feed_name", "ord": "feed_ord"}).lateralJoin(FeedEntries(F.col("body").outer()))
-    when = F.coalesce(*[parse_date(F.col(c)) for c in ("published", "updated", "pub_date")])
+    when = F.coalesce(*[parse_any(F.col(c)) for c in ("published", "updated", "pub_date")])
     texts = F.filter(F.concat("content", F.array("summary")), lambda x: F.coalesce(x, F.lit("")) != "")
     sized = F.array_sort(F.transform(texts, lambda x, k: F.struct((-F.length(x)).alias("n"), k.alias("k"), x.alias("x"))))
     longest = F.try_element_at(sized, F.lit(1))["x"]
     barred = host_in(F.col("link"), list(skip_content))
     pictures = F.concat(F.flatten(F.transform(sized, lambda s: F.regexp_extract_all(s["x"], F.lit(r"""(?i)<img\b[^<>]*?\bsrc\s*=\s*["']?([^"'\s>]+)"""), F.lit(1)))), "media", "enclosures")
-    good = F.filter(F.transform(pictures, F.trim), lambda u: F.lower(u).rlike(r"\Ahttps?://") & (F.length(u) <= 2048))
+    whole = F.filter(F.transform(pictures, F.trim), lambda u: F.length(u) <= 2048)
+    relative = F.exists(whole, lambda u: ~F.lower(u).rlike(r"\Ahttps?://") | F.contains(u, F.lit("&")))  # only these need joining
+    good = F.filter(F.when(relative, H.joined_urls(F.col("link"), F.when(relative, whole))).otherwise(whole), lambda u: F.lower(u).rlike(r"\Ahttps?://"))
     source = F.coalesce(F.nullif("feed_name", F.lit("")), F.nullif("feed_title", F.lit("")), host_of(F.col("url")))
     return rows.filter((F.col("title") != "") & (F.col("link") != "") & when.isNotNull()).select(
         (F.col("feed_ord") * 1_000_000 + F.col("ord")).alias("ord"), "category", source.alias("source"), "title", F.col("link").alias("url"), when.alias("published_at"),
@@ -292,8 +304,8 @@ class PreviewPosts:
 def parse_preview(bodies: DataFrame) -> DataFrame:
     """Raw rows of channel preview pages; a post needs a well-formed name, a title and a time."""
     rows = bodies.withColumnsRenamed({"title": "feed_name"}).lateralJoin(PreviewPosts(F.col("body").outer()))
-    when = parse_date(F.col("at"))
-    good = F.filter("images", lambda u: F.lower(u).rlike(r"\Ahttps?://"))
+    when = parse_any(F.col("at"))
+    good = F.filter(H.joined_urls(F.concat(F.lit("https://t.me/s/"), F.substring_index("post", "/", 1)), F.col("images")), lambda u: F.lower(u).rlike(r"\Ahttps?://"))
     return rows.filter(F.col("post").rlike(POST) & (F.col("title") != "") & when.isNotNull()).select(
         (F.col("ord") * 1_000_000 + F.col("pos")).alias("ord"), "category", F.col("feed_name").alias("source"), compact(F.col("title")).alias("title"),
         F.concat(F.lit("https://t.me/"), "post").alias("url"), when.alias("published_at"), F.lit("").alias("feed_url"),
@@ -307,7 +319,7 @@ def parse_jike(bodies: DataFrame) -> DataFrame:
     data = H.tag_text(F.col("body"), "script", "id", "__NEXT_DATA__")
     posts = F.from_json(F.get_json_object(data, "$.props.pageProps.posts"), kind)
     rows = bodies.select("ord", "category", F.col("title").alias("source"), F.posexplode(posts).alias("pos", "p"))
-    when = parse_date(F.coalesce(F.nullif("p.createdAt", F.lit("")), "p.actionTime"))
+    when = parse_any(F.coalesce(F.nullif("p.createdAt", F.lit("")), "p.actionTime"))
     text = strip(F.coalesce("p.content", F.lit("")))
     return rows.filter(F.coalesce("p.id", F.lit("")).rlike(POST_ID) & (text != "") & when.isNotNull()).select(
         (F.col("ord") * 1_000_000 + F.col("pos")).alias("ord"), "category", "source", compact(text).alias("title"), F.concat(F.lit("https://m.okjike.com/originalPosts/"), "p.id").alias("url"),

@@ -12,7 +12,7 @@ from loomwick.operators import merge
 from loomwick.types import struct
 
 
-def upsert(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], Column], days: int = 60, once: bool = True):
+def upsert(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], Column], days: int = 60, once: bool = True, every: str = "30 seconds"):
     """Folds each batch of raw rows into a table of versions under ``path``.
 
     A batch writes version ``batch_id`` from the one before, so a batch that runs again after a failure writes
@@ -30,7 +30,7 @@ def upsert(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], Colu
         out.drop("feed_content", "feed_images").write.mode("overwrite").parquet(f"{path}/v={batch_id}")
 
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
 def first_seen(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
