@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from loomwick.functions.encoding import diagnose
-from loomwick.functions.text import blank, keywords, share_key
+from loomwick.functions.text import blank, compact, keywords, share_key, snippet
 from loomwick.functions.url import comparable_path, is_youtube
 from loomwick.schemas import BLANK_SUMMARY, FALLBACK_MARK, GONE_PREFIX, GONE_SUMMARY
 from loomwick.types import plain, struct
 
-KIND = "struct<category:string,detail:string,action:string,fixed:string>"
+KIND = "struct<category:string,detail:string,action:string,fixed:string,excerpt:string>"
 CATEGORIES = ["garbled", "loop", "scrape", "mismatch", "spam"]
 #: Signals of promotion by kind, an auxiliary one, topics that need one kind only, and reporting voice.
 PROMOTION = {
@@ -49,11 +49,11 @@ STRONG = (
     r"width=device-width|name=[\"']?viewport|OptanonWrapper|crossorigin=|"
     r"<meta\b|<script\b[^<>]{0,300}?\bsrc=|<link\b[^<>]{0,300}?\brel=|class=\"[\w\- :/\[\]]{20,}\""
 )
+#: Fixed value: paths that a template left unfilled.
 BROKEN_URL = r"(?i)/(?:undefined|null|NaN|None)(?:/|$|\?)"
 #: Our own small default rules for page chrome; sites add theirs.
 CHROME = r"enable javascript|accept (?:all )?cookies|cookie policy|access denied|are you a robot|verify you are human|請啟用 ?javascript|页面不存在"
 CODE = r"(?m)^\s*(?:def |class |import |#include|function\b|const |let |var |public |<\?php|SELECT )|[{};]\s*$"
-LOOP = r"(.{1,40}?)\1{9,}"
 RETITLED, KEEPER = 0.3, 0.2
 
 
@@ -61,10 +61,18 @@ def _no_finding() -> Column:
     return F.lit(None).cast(KIND)
 
 
-def finding(category: str, detail: Column | str, action: Column | str, fixed: Column | None = None) -> Column:
+def finding(category: str, detail: Column | str, action: Column | str, fixed: Column | None = None, excerpt: Column | None = None) -> Column:
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
-    fixed = F.lit(None).cast("string") if fixed is None else fixed
-    return F.struct(F.lit(category).alias("category"), lit(detail).alias("detail"), lit(action).alias("action"), fixed.alias("fixed"))
+    none = F.lit(None).cast("string")
+    return F.struct(
+        F.lit(category).alias("category"), lit(detail).alias("detail"), lit(action).alias("action"),
+        (none if fixed is None else fixed).alias("fixed"), (none if excerpt is None else excerpt).alias("excerpt"),
+    )
+
+
+def around(text: Column, part: Column) -> Column:
+    """The text where a part of it first stands."""
+    return snippet(text, F.greatest(F.lit(0), F.instr(text, part) - 1))
 
 
 def promotion_hits(text: Column, groups: dict[str, str] | None = None) -> Column:
@@ -82,7 +90,8 @@ def check_spam(text: Column, title: Column, groups: dict[str, str] | None = None
     news = both.rlike(f"(?iU){voice}")
     spam = (own > 0) & F.when(news, kinds >= KINDS_IN_NEWS).otherwise((kinds >= KINDS) | both.rlike(f"(?iU){topic}"))
     words = F.substring(F.array_join(F.concat(F.flatten(hits), extra), ", "), 1, 60)
-    found = F.when(spam, finding("spam", F.concat(F.lit("promotion: "), words), "blank")).otherwise(_no_finding())
+    shown = around(F.lower(both), F.try_element_at(F.concat(F.flatten(hits), extra), F.lit(1)))
+    found = F.when(spam, finding("spam", F.concat(F.lit("promotion: "), words), "blank", excerpt=shown)).otherwise(_no_finding())
     if groups is None:
         low, stem = F.lower(both), F.lit(False)
         for s in STEMS:
@@ -148,7 +157,7 @@ _loop, _diagnose = find_loop.asNondeterministic(), diagnose.asNondeterministic()
 
 def check_garbled(text: Column) -> Column:
     found = _diagnose(text)
-    return F.when(found["what"].isNotNull(), finding("garbled", found["what"], F.when(found["fixed"].isNotNull(), "repair").otherwise("refetch"), found["fixed"])).otherwise(
+    return F.when(found["what"].isNotNull(), finding("garbled", found["what"], F.when(found["fixed"].isNotNull(), "repair").otherwise("refetch"), found["fixed"], snippet(text, found["at"]))).otherwise(
         _no_finding()
     )
 
@@ -160,8 +169,8 @@ def check_loop(text: Column) -> Column:
     detail = F.concat(F.lit('"'), F.substring(F.trim(found["unit"]), 1, 20), F.lit('" repeated'))
     return (
         F.when(fixed.isNull(), _no_finding())
-        .when(mostly, finding("loop", F.concat(detail, F.lit(", mostly loop")), "refetch"))
-        .otherwise(finding("loop", detail, "repair", fixed))
+        .when(mostly, finding("loop", F.concat(detail, F.lit(", mostly loop")), "refetch", excerpt=around(text, found["unit"])))
+        .otherwise(finding("loop", detail, "repair", fixed, around(text, found["unit"])))
     )
 
 
@@ -184,14 +193,14 @@ def check_scrape(text: Column, chrome: str = CHROME) -> Column:
     clean = strip_markup(body)
     good = (F.length(clean) >= 80) & (F.length(clean) >= 0.6 * F.length(body)) & ~clean.rlike(f"(?i){STRONG}")
     fixed = F.concat(clean, F.when(marked, f" {FALLBACK_MARK}").otherwise(""))
-    first = F.regexp_extract(text, f"(?i){chrome}", 0)
+    first, markup = F.regexp_extract(text, f"(?i){chrome}", 0), F.regexp_extract(text, f"(?i){LEFTOVER}|{STRONG}", 0)
     # without any of these characters no pattern of markup can match
     marked_up = F.contains(text, F.lit("<")) | F.contains(text, F.lit("&")) | F.contains(text, F.lit("=")) | F.contains(text, F.lit("OptanonWrapper"))
     leftover = marked_up & leftover
     return (
-        F.when(only_chrome, finding("scrape", F.concat(F.lit('site chrome only: "'), first, F.lit('"')), "refetch"))
-        .when(leftover & good, finding("scrape", "leftover HTML, tags stripped", "repair", fixed))
-        .when(leftover, finding("scrape", "leftover HTML", "refetch"))
+        F.when(only_chrome, finding("scrape", F.concat(F.lit('site chrome only: "'), first, F.lit('"')), "refetch", excerpt=around(text, first)))
+        .when(leftover & good, finding("scrape", "leftover HTML, tags stripped", "repair", fixed, around(text, markup)))
+        .when(leftover, finding("scrape", "leftover HTML", "refetch", excerpt=around(text, markup)))
         .otherwise(_no_finding())
     )
 
@@ -221,6 +230,9 @@ def path_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+_ratio = path_ratio.asNondeterministic()
+
+
 def shared_index(items: DataFrame, text: str = "summary") -> DataFrame:
     """Items with a real text of 60 characters or more without white space, and its key."""
     real = ~blank(F.col(text)) & ~F.startswith(F.col(text), F.lit(GONE_PREFIX))
@@ -248,23 +260,29 @@ def check_shared(items: DataFrame, text: str = "summary", order: str = "ord") ->
         F.count(F.lit(1)).alias("n"), F.count_distinct("plain").alias("titles"), F.bool_or("broken").alias("any_broken"),
         F.min_by(F.struct("t", "path", "about", order), F.col(order)).alias("first"),
     ).filter("n > 1 and titles > 1")
-    both = rows.join(groups, "share_key").withColumns(
-        {
-            "score": F.size(F.array_intersect("t", "first.about")) / F.greatest(F.lit(1), F.size("t")),
-            "near": (F.col(order) == F.col(f"first.{order}")) | (path_ratio(F.col("first.path"), F.col("path")) >= 0.6),
-            "retitled": (F.col(order) == F.col(f"first.{order}"))
-            | ((F.size("first.t") > 0) & (F.size("t") > 0) & (overlap(F.col("first.t"), F.col("t")) >= RETITLED)),
-        }
+    here = F.col(order) == F.col(f"first.{order}")
+    near_titles = (F.size("first.t") > 0) & (F.size("t") > 0) & (overlap(F.col("first.t"), F.col("t")) >= RETITLED)
+    # paths that are equal need no comparison: those columns are null there
+    differ = ~here & ~F.col("first.path").eqNullSafe(F.col("path"))
+    both = rows.join(groups, "share_key").select(
+        "id", order, "share_key", "broken", "any_broken", F.col("title").alias("shown"), (F.size("first.t") > 0).alias("titled"),
+        (F.size(F.array_intersect("t", "first.about")) / F.greatest(F.lit(1), F.size("t"))).alias("score"),
+        F.when(differ, _ratio(F.when(differ, F.col("first.path")), F.when(differ, F.col("path"))) >= 0.6).otherwise(True).alias("near"), (here | near_titles).alias("retitled"),
+    )
+    both = both.repartition("id")  # one exchange that both readers below share: paths are compared once, and a hot key is spread
+    # of the best scores the highest, how many have it, and the first item that has it
+    by_score = both.groupBy("share_key", "score").agg(
+        F.count(F.lit(1)).alias("ties"), F.min(order).alias("best"), F.bool_and("near").alias("near"), F.bool_and(F.col("retitled") & F.col("titled")).alias("retitled"), F.min("shown").alias("shown")
     )
-    verdict = both.groupBy("share_key").agg(
-        F.bool_and("near").alias("all_near"), F.bool_and(F.col("retitled") & (F.size("first.t") > 0)).alias("all_retitled"),
-        F.max("score").alias("top"), F.max_by(order, F.struct("score", -F.col(order))).alias("best"),
+    verdict = by_score.groupBy("share_key").agg(
+        F.bool_and("near").alias("all_near"), F.bool_and("retitled").alias("all_retitled"), F.max("score").alias("top"),
+        F.max_by(F.struct("ties", "best"), "score").alias("b"), F.min("shown").alias("like"),
     )
-    ties = both.join(verdict.select("share_key", "top"), "share_key").groupBy("share_key").agg(F.count_if(F.col("score") == F.col("top")).alias("ties"))
-    judged = both.join(verdict, "share_key").join(ties, "share_key").filter("any_broken or not (all_near or all_retitled)")
-    keeper = (F.col(order) == F.col("best")) & (F.col("top") >= KEEPER) & (F.col("ties") == 1)
+    judged = both.join(verdict, "share_key").filter("any_broken or not (all_near or all_retitled)")
+    keeper = (F.col(order) == F.col("b.best")) & (F.col("top") >= KEEPER) & (F.col("b.ties") == 1)
     why = F.when(F.col("broken"), "broken url").otherwise("title does not match")
-    return judged.filter(F.col("broken") | ~keeper).select("id", finding("mismatch", F.concat(why, F.lit("; text shared")), "refetch").alias("finding"))
+    detail = F.concat(why, F.lit("; text shared with "), compact(F.col("like"), 40))
+    return judged.filter(F.col("broken") | ~keeper).select("id", finding("mismatch", detail, "refetch").alias("finding"))
 
 
 def settled(action: Column, category: Column, url: Column) -> Column:
@@ -308,3 +326,20 @@ def report(rows: DataFrame) -> DataFrame:
     firsts = reduce(DataFrame.unionByName, tops).groupBy("category").agg(F.array_sort(F.collect_list("title")).alias("titles"))
     order = F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("category"))
     return counts.join(firsts, "category").orderBy(order)
+
+
+#: What to do about each category, for the report.
+HINTS = {
+    "garbled": "repaired where the bytes are known, else fetched again", "loop": "rounds cut to one", "scrape": "page furniture: extend the chrome rules",
+    "mismatch": "one text under several titles: look at the feed", "spam": "promotion: text blanked",
+}
+
+
+def report_lines(rows: DataFrame) -> list[str]:
+    """The report as text: a line for each category, then its titles as an annotation of one line.  rows: report()."""
+    out = []
+    for r in rows.collect():  # a row for each category
+        out.append(f"{r['category']}: {r['n']} ({HINTS[r['category']]})")
+        titles = "%0A".join(t.replace("%", "%25") for t in r["titles"])
+        out.append(f"::warning title={r['category']} {r['n']}::{titles}")
+    return out

@@ -6,10 +6,12 @@ provider is asked once for each address and lineage stays short.
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loomwick.config import Config, Rules
@@ -34,17 +36,58 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fetch_feeds(feeds: DataFrame, fetcher: Fetcher, rules: Rules | None = None) -> tuple[DataFrame, DataFrame]:
-    """(raws, failures): one request for each address, parsed once for each feed that names it."""
+class Run:
+    """A run's clock and counts: stages are watched by observations, which cost no pass of their own."""
+
+    def __init__(self, cfg: Config | None = None):
+        self.cfg, self.began, self.watched = cfg or Config(), time.monotonic(), {}
+
+    def watch(self, df: DataFrame, name: str, **figures: Column) -> DataFrame:
+        """df, whose rows (and further aggregates) count under the name once an action has read it."""
+        seen = Observation(name)
+        self.watched[name] = seen
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in figures.items()])
+
+    def metrics(self, wait: float = 5.0) -> dict[str, dict]:
+        """The figures of every stage that an action has read; a stage without any by then is left out."""
+        found: dict[str, dict] = {}
+        for name, seen in self.watched.items():
+            asking = threading.Thread(target=lambda n=name, s=seen: found.update({n: s.get}), daemon=True)
+            asking.start()
+            asking.join(wait)
+        return dict(found)
+
+    def timed_out(self, share: float = 1.0) -> bool:
+        return bool(self.cfg.time_budget) and time.monotonic() - self.began >= share * self.cfg.time_budget
+
+
+def answered(urls: DataFrame, fetcher: Fetcher, second: Fetcher | None = None) -> DataFrame:
+    """Answers, where blocked ones are asked again by the second fetcher; what that gives then counts."""
+    answers = written(fetcher.fetch(urls.select("url").distinct()), "answers")
+    if second is None:
+        return answers
+    blocked = net.status_class(F.col("status")) == "blocked"
+    again = written(second.fetch(answers.filter(blocked).select("url")), "answers")
+    return answers.filter(~F.coalesce(blocked, F.lit(False))).unionByName(again.select(*answers.columns))
+
+
+def fetch_feeds(feeds: DataFrame, fetcher: Fetcher, rules: Rules | None = None, second: Fetcher | None = None) -> tuple[DataFrame, DataFrame]:
+    """(raws, failures): one request for each address, parsed once for each feed that names it.
+
+    Channel pages are read for their feeds first.  failures: url, title and why.
+    """
     rules = rules or Rules()
-    answers = written(fetcher.fetch(feeds.select("url").distinct()), "feeds")
+    if "youtube_page" in feeds.columns and feeds.filter("youtube_page").take(1):
+        asked = answered(feeds.filter("youtube_page"), fetcher, second)
+        feeds = written(feeds_.resolve_channels(feeds, asked.select("url", decode_body(F.col("content"), F.col("headers")).alias("html"))), "resolved")
+    answers = answered(feeds, fetcher, second)
     good = answers.filter(net.status_class(F.col("status")) == "ok").select("url", decode_body(F.col("content"), F.col("headers")).alias("body"))
     bodies = written(feeds.join(good, "url"), "bodies")
     of = lambda kind: bodies.filter(F.col("parser") == kind)
     raws = feeds_.parse_rss(of("rss"), rules.hosts("feed_content_skip"))
     raws = raws.unionByName(feeds_.parse_preview(of("telegram"))).unionByName(feeds_.parse_jike(of("jike")))
-    failed = feeds.join(good.select("url"), "url", "left_anti").select("url", "title")
-    return raws, failed
+    failed = feeds.join(good.select("url"), "url", "left_anti").select("url", "title").join(answers.select("url", "status", "error"), "url", "left")
+    return raws, failed.select("url", "title", F.coalesce("error", F.concat(F.lit("status "), F.col("status")), F.lit("no answer")).alias("error"))
 
 
 def collect(archive: DataFrame, feeds: DataFrame, fetcher: Fetcher, now: Column, cfg: Config | None = None, rules: Rules | None = None, more: DataFrame | None = None) -> DataFrame:
@@ -110,6 +153,43 @@ def page_stage(fetcher: Fetcher, least: int = 200) -> Callable[[DataFrame], Data
     return stage
 
 
+def through(stage: Callable[[DataFrame], DataFrame], address: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
+    """A stage that asks another address for each url: a reader or an archive that holds the page."""
+
+    def asked(urls: DataFrame) -> DataFrame:
+        both = urls.select("url", address(F.col("url")).alias("other"))
+        got = stage(both.select(F.col("other").alias("url")).distinct()).withColumnRenamed("url", "other")
+        # an archive's "gone" says nothing of the page itself
+        status = F.when((F.col("status") == "gone") & (F.col("other") != F.col("url")), "failed").otherwise(F.col("status"))
+        return both.join(got, "other").select("url", "body", status.alias("status"))
+
+    return asked
+
+
+def paused_hosts(stage: Callable[[DataFrame], DataFrame], domains: tuple[str, ...] = ()) -> Callable[[DataFrame], DataFrame]:
+    """A stage that asks one page of each host first: a host that blocks it is left alone, its other pages wait as blocked."""
+
+    def asked(urls: DataFrame) -> DataFrame:
+        keyed = urls.select("url", pause_key(F.col("url"), domains).alias("host"))
+        first = keyed.groupBy("host").agg(F.min("url").alias("url"))
+        probe = written(stage(first.select("url")).select("url", "body", "status"), "probes")
+        closed = first.join(probe.filter("status = 'blocked'"), "url").select("host")
+        rest = keyed.join(first.select("url"), "url", "left_anti")
+        waiting = rest.join(closed, "host", "left_semi").select("url", F.lit(None).cast("string").alias("body"), F.lit("blocked").alias("status"))
+        return probe.unionByName(stage(rest.join(closed, "host", "left_anti").select("url")).select("url", "body", "status")).unionByName(waiting)
+
+    return asked
+
+
+def article_ladder(fetcher: Fetcher, rules: Rules) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
+    """The ways to a page's text: the page, then what the sites table names as reader and as archive (prefixes of the address)."""
+    stages = [("page", paused_hosts(page_stage(fetcher), rules.hosts("pause_domains")))]
+    for name in ("reader", "archive"):
+        for prefix in rules.hosts(name)[:1]:
+            stages.append((name, through(page_stage(fetcher), lambda u, p=prefix: F.concat(F.lit(p), u))))
+    return stages
+
+
 def summarize(items: DataFrame, transcripts: DataFrame, fetcher: Fetcher, cfg: Config | None = None, rules: Rules | None = None) -> DataFrame:
     """Pending items to texts: routed, fetched once, settled, passed through the quality gate.
 
@@ -123,8 +203,7 @@ def summarize(items: DataFrame, transcripts: DataFrame, fetcher: Fetcher, cfg: C
     )
     routed = written(waiting.withColumn("route", way), "routed")
     fetchable = routing.capped(routed.filter("route = 'fetch'"), cfg.max_items, "ord").select("id", "url")
-    hosts = fetchable.repartition(pause_key(F.col("url"), rules.hosts("pause_domains"))) if rules.hosts("pause_domains") else fetchable
-    pages = staged(hosts, [("page", page_stage(fetcher))])
+    pages = staged(fetchable, article_ladder(fetcher, rules))
     texts = routed.join(fetchable.join(pages, "url").select("id", "body", F.col("status").alias("fetch_status")), "id", "left")
     offline = F.when(F.col("route") == "douban", text.note_of_mark(F.col("feed_content"))).when(F.col("route") == "feed", F.col("feed_content")).otherwise(F.col("transcript"))
     built = F.when(F.col("route") == "fetch", F.coalesce("body", F.when(~text.blank(F.col("feed_content")), F.concat("feed_content", F.lit(FALLBACK_MARK)))))

@@ -15,7 +15,7 @@ RAW = struct(
 )
 FEED = struct("ord long, title string, category string, home string, parser string, url string, youtube_page boolean")
 CUE = struct("cue_no int, start_s double, end_s double, settings string, payload string")
-FINDING = struct("category string, detail string, action string, fixed string")
+FINDING = struct("category string, detail string, action string, fixed string, excerpt string")
 RESPONSE = struct("url string, status int, headers map<string,string>, content binary, error string")
 
 #: What stands for a summary that holds nothing, and the mark of one made from a fallback text.
