@@ -6,32 +6,11 @@ archive fields: documents serve as stored texts, pages as fetched pages, events
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwick.functions import dates, html, lang, text, thumbs, url
 from loomwick.operators import merge, mining, qc, sequential, subtitles
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from loomwick.plans.registry import query, table
 
 # --- urls ---------------------------------------------------------------------------------------------------
 
@@ -192,7 +171,7 @@ def route_case(spark, d):
 _PART_URL = "'https://img.example.org/' || lower(replace(p_name, ' ', '-')) || '-' || p_size || CASE WHEN p_partkey % 5 = 0 THEN '.svg' WHEN p_partkey % 5 = 1 THEN '.html' ELSE '.jpg' END"
 
 
-@query()
+@query("""SELECT p_partkey, p_partkey % 5 > 1 AS ok, CASE p_partkey % 5 WHEN 0 THEN 'svg (usually a logo or icon)' WHEN 1 THEN 'no image extension' ELSE 'short topical filename' END AS reason FROM part""")
 def thumb_decision(spark, d):
     link = F.expr(_PART_URL.replace("p_size", "CAST(p_size AS STRING)"))
     return table(spark, d, "part").select("p_partkey", thumbs.thumb_usable(link).alias("v")).select("p_partkey", "v.ok", "v.reason")
@@ -378,18 +357,6 @@ def mine_repeated_lines(spark, d):
     return mining.mine_boilerplate(table(spark, d, "documents"), 3, "text", pattern="\n")
 
 
-_GROUPS = {k: rf"(?:^|[^a-z])(?:{p})(?:[^a-z]|$)" for k, p in (("a", "which|with"), ("b", "thing|on"), ("c", "der|die"), ("d", "que|le"))}
-
-
-@query(r"""SELECT doc_id, own + CASE WHEN regexp_matches(text, '(?i)Rp ?[0-9]') THEN 1 ELSE 0 END AS kinds FROM (SELECT doc_id, text, """
-       + " + ".join(f"CASE WHEN regexp_matches(text, '(?i){p}') THEN 1 ELSE 0 END" for p in _GROUPS.values()) + r""" AS own FROM documents) WHERE own >= 2""")
-def qc_spam_kinds(spark, d):
-    both = F.col("text")
-    kinds = F.size(F.filter(qc.promotion_hits(both, _GROUPS), lambda h: F.size(h) > 0))
-    extra = F.when(both.rlike(r"(?i)Rp ?[0-9]"), 1).otherwise(0)
-    return table(spark, d, "documents").select("doc_id", kinds.alias("own"), (kinds + extra).alias("kinds")).filter("own >= 2").select("doc_id", "kinds")
-
-
 @query(r"""SELECT page_id, CAST(len(regexp_extract_all(html, '<[^>]{0,300}>')) AS INT) AS tags, CAST(len(regexp_extract_all(html, '&(?:nbsp|amp|lt|gt|#[0-9]+);')) AS INT) AS entities,
  regexp_matches(html, '(?i)<meta\b') AS strong FROM pages""")
 def qc_scrape_html(spark, d):
@@ -426,12 +393,6 @@ def qc_shared(spark, d):
     return qc.check_shared(rows).select("id", "finding.category", "finding.action")
 
 
-@query("SELECT count(*) AS n, 0 AS garbled FROM documents")
-def qc_garbled_utf8(spark, d):
-    bad = F.count_if(~F.is_valid_utf8("text") | F.contains("text", F.lit("�")))
-    return table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"), bad.cast("int").alias("garbled"))
-
-
 # --- order-dependent rules --------------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from test_sources import ATOM, PREVIEW, RSS
 
 from loomwick import providers
 from loomwick.config import Config, Rules
-from loomwick.plans import catalogue, jobs
+from loomwick.plans import catalogue, formats, jobs, registry, rules  # noqa: F401  queries are registered on import
 from loomwick.schemas import BLANK_SUMMARY, GONE_SUMMARY
 from loomwick.streaming import upsert
 
@@ -111,7 +111,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="the tables are not mounted")
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_catalogue_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -119,13 +119,13 @@ def test_catalogue_equals_sql(spark, name):
 
     df = entry.queries()[name](spark, DATA)
     rows, cols = df.collect(), sorted(df.columns)
-    if name not in catalogue.ORACLES:
+    if name not in registry.ORACLES:
         return
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for f in os.listdir(DATA):
         con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{DATA}/{f}'")
-    got = con.execute(catalogue.ORACLES[name])
+    got = con.execute(registry.ORACLES[name])
     names = [d[0] for d in got.description]
     plain = lambda v: round(v, 6) if isinstance(v, float) else str(v).removesuffix(" 00:00:00") if isinstance(v, dt.date) else v
     assert sorted(names) == cols
