@@ -15,7 +15,7 @@ from pyspark.sql.functions import pandas_udf
 
 from loomwick.functions.encoding import diagnose
 from loomwick.functions.text import blank, compact, keywords, share_key, snippet
-from loomwick.functions.url import comparable_path, is_youtube
+from loomwick.functions.url import comparable_path, is_youtube, let
 from loomwick.schemas import BLANK_SUMMARY, FALLBACK_MARK, GONE_PREFIX, GONE_SUMMARY
 from loomwick.types import plain, struct
 
@@ -85,13 +85,19 @@ def check_spam(text: Column, title: Column, groups: dict[str, str] | None = None
     both = F.concat_ws(" ", text, F.coalesce(title, F.lit("")))
     hits = promotion_hits(both, groups)
     extra = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(both, F.lit(f"(?iU){aux}"), F.lit(0)), F.lower)))
-    own = F.size(F.filter(hits, lambda h: F.size(h) > 0))
-    kinds = own + F.when(F.size(extra) > 0, 1).otherwise(0)
-    news = both.rlike(f"(?iU){voice}")
-    spam = (own > 0) & F.when(news, kinds >= KINDS_IN_NEWS).otherwise((kinds >= KINDS) | both.rlike(f"(?iU){topic}"))
-    words = F.substring(F.array_join(F.concat(F.flatten(hits), extra), ", "), 1, 60)
-    shown = around(F.lower(both), F.try_element_at(F.concat(F.flatten(hits), extra), F.lit(1)))
-    found = F.when(spam, finding("spam", F.concat(F.lit("promotion: "), words), "blank", excerpt=shown)).otherwise(_no_finding())
+
+    def judged(x: Column) -> Column:
+        own = F.size(F.filter(x["hits"], lambda h: F.size(h) > 0))
+        kinds = own + F.when(F.size(x["extra"]) > 0, 1).otherwise(0)
+        spam = (own > 0) & F.when(x["news"], kinds >= KINDS_IN_NEWS).otherwise((kinds >= KINDS) | x["topic"])
+        signals = F.concat(F.flatten(x["hits"]), x["extra"])
+        detail = F.concat(F.lit("promotion: "), F.substring(F.array_join(signals, ", "), 1, 60))
+        shown = around(F.lower(both), F.try_element_at(signals, F.lit(1)))
+        return F.when(spam, finding("spam", detail, "blank", excerpt=shown)).otherwise(_no_finding())
+
+    # bound once: the rule reads them in many places
+    seen = F.struct(hits.alias("hits"), extra.alias("extra"), both.rlike(f"(?iU){voice}").alias("news"), both.rlike(f"(?iU){topic}").alias("topic"))
+    found = let(seen, judged)
     if groups is None:
         low, stem = F.lower(both), F.lit(False)
         for s in STEMS:
@@ -186,23 +192,23 @@ def check_scrape(text: Column, chrome: str = CHROME) -> Column:
     n_tags, strong = F.regexp_count(text, F.lit(f"(?i){LEFTOVER}")), text.rlike(f"(?i){STRONG}")
     size = F.length(text)
     only_chrome = (n_chrome > 0) & ((size < 800) | (n_chrome >= 3))
-    leftover = (strong | (n_tags >= 5) | ((n_tags > 0) & (size < 300))) & ~text.rlike(CODE)
-    body = F.regexp_replace(text, r"(?U)\s+\z", "")
-    marked = F.endswith(body, F.lit(FALLBACK_MARK))
-    body = F.when(marked, F.regexp_replace(body, rf"(?U)\s*{FALLBACK_MARK}\z", "")).otherwise(body)
-    clean = strip_markup(body)
-    good = (F.length(clean) >= 80) & (F.length(clean) >= 0.6 * F.length(body)) & ~clean.rlike(f"(?i){STRONG}")
-    fixed = F.concat(clean, F.when(marked, f" {FALLBACK_MARK}").otherwise(""))
-    first, markup = F.regexp_extract(text, f"(?i){chrome}", 0), F.regexp_extract(text, f"(?i){LEFTOVER}|{STRONG}", 0)
     # without any of these characters no pattern of markup can match
     marked_up = F.contains(text, F.lit("<")) | F.contains(text, F.lit("&")) | F.contains(text, F.lit("=")) | F.contains(text, F.lit("OptanonWrapper"))
-    leftover = marked_up & leftover
-    return (
-        F.when(only_chrome, finding("scrape", F.concat(F.lit('site chrome only: "'), first, F.lit('"')), "refetch", excerpt=around(text, first)))
-        .when(leftover & good, finding("scrape", "leftover HTML, tags stripped", "repair", fixed, around(text, markup)))
-        .when(leftover, finding("scrape", "leftover HTML", "refetch", excerpt=around(text, markup)))
-        .otherwise(_no_finding())
-    )
+    leftover = marked_up & (strong | (n_tags >= 5) | ((n_tags > 0) & (size < 300))) & ~text.rlike(CODE)
+    ended = F.regexp_replace(text, r"(?U)\s+\z", "")
+    marked = F.endswith(ended, F.lit(FALLBACK_MARK))
+    body = F.when(marked, F.regexp_replace(ended, rf"(?U)\s*{FALLBACK_MARK}\z", "")).otherwise(ended)
+
+    def stripped(x: Column) -> Column:
+        clean, shown = x["clean"], around(text, F.regexp_extract(text, f"(?i){LEFTOVER}|{STRONG}", 0))
+        good = (F.length(clean) >= 80) & (F.length(clean) >= 0.6 * x["size"]) & ~clean.rlike(f"(?i){STRONG}")
+        fixed = F.concat(clean, F.when(x["marked"], f" {FALLBACK_MARK}").otherwise(""))
+        return F.when(good, finding("scrape", "leftover HTML, tags stripped", "repair", fixed, shown)).otherwise(finding("scrape", "leftover HTML", "refetch", excerpt=shown))
+
+    cleaned = let(F.struct(strip_markup(body).alias("clean"), F.length(body).alias("size"), marked.alias("marked")), stripped)
+    first = F.regexp_extract(text, f"(?i){chrome}", 0)
+    only = finding("scrape", F.concat(F.lit('site chrome only: "'), first, F.lit('"')), "refetch", excerpt=around(text, first))
+    return F.when(only_chrome, only).when(leftover, cleaned).otherwise(_no_finding())
 
 
 def inspect(items: DataFrame, text: str = "summary", title: str = "title") -> DataFrame:
