@@ -60,3 +60,62 @@ def test_thresholds_follow_the_group(spark):
     junk = [(1000 + k, " ".join(f"w{(k + j * j) % 97}{j}***" for j in range(60)), "en", "a") for k in range(25)]
     kept = {r.doc_id: r.kept for r in op.judge(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")).collect()}
     assert all(kept[k] for k in range(60)) and not any(kept[1000 + k] for k in range(25))
+
+
+def plain_kept(rows):
+    """Verdicts by sorted lists of each group's values, without sketches or joins."""
+    import math
+
+    measures = list(op.LIMITS)
+    pairs = [("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"), ("n_upper", "n_alpha"), ("n_stutter", "n_words")]
+    found = []
+    for doc, text, lang, source in rows:
+        c = dict(zip(op.COUNTS, op.text_counts((text or "").encode()), strict=True))
+        found.append((doc, lang, source, c, [min(1000, 1000 * c[a] // c[b]) if c[b] else 0 for a, b in pairs]))
+
+    def edge(v):
+        step = 1 << max(0, v.bit_length() - 5)
+        return v if v < 32 else v // step * step + step - 1
+
+    def limit(values, measure):
+        at = lambda q: edge(sorted(values)[max(0, math.ceil(len(values) * q) - 1)])
+        margin, ceiling = op.LIMITS[measure]
+        return min(ceiling, at(op.MIDDLE) + max(margin, op.SPREAD * (at(op.MIDDLE) - at(op.LOW))))
+
+    out, limits = {}, set()
+    for doc, lang, source, c, shares in found:
+        group = [f for f in found if f[1:3] == (lang, source)]
+        if len(group) < op.LEAST_ROWS:
+            group = [f for f in found if f[1] == lang]
+        if len(group) < op.LEAST_ROWS:
+            group = found
+        own = tuple(limit([f[4][k] for f in group], m) for k, m in enumerate(measures))
+        limits.add(own)
+        failed = c["n_words"] < op.MIN_WORDS or 100 * c["n_repeat_words"] > op.MAX_REPEAT_PERCENT * c["n_words"]
+        out[doc] = not failed and all(x <= y for x, y in zip(shares, own, strict=True))
+    return out, limits
+
+
+def test_verdicts_equal_plain_code(spark):
+    """Groups of their own, of their language, and of all rows: each row's verdict, and limits that differ."""
+    import random
+
+    rnd = random.Random(9)
+    rows = []
+    for lang, source, n, shout in (("en", "a", 140, 0.5), ("en", "b", 40, 0.1), ("fr", "a", 20, 0.1), (None, None, 130, 0.02), ("de", None, 120, 0.3)):
+        for _ in range(n):
+            words = [w.upper() if rnd.random() < shout * rnd.random() else w for w in (f"w{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(26))}" for _ in range(rnd.randint(15, 80)))]
+            if rnd.random() < 0.3:
+                words = [w + "#" * rnd.randint(0, 2) for w in words]
+            if rnd.random() < 0.3:
+                words = [x for w in words for x in [w] * rnd.choice([1, 1, 1, 2])]
+            lines = [" ".join(words[a : a + 9]) for a in range(0, len(words), 9)]
+            rows.append((len(rows), "\n".join(lines + lines[: rnd.choice([0, 0, 1, 2])]), lang, source))
+    rows += [(9000, None, "en", "a"), (9001, "", None, None)]
+    want, limits = plain_kept(rows)
+    got = {r.doc_id: r.kept for r in op.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)).collect()}
+    assert got == want and len(limits) == 5 and 50 < sum(want.values()) < len(rows) - 50
+    # no set of limits common to all groups gives these verdicts: the groups' own quantiles decide some
+    each = list(limits)
+    common = [min(x[k] for x in each) for k in range(5)], [max(x[k] for x in each) for k in range(5)]
+    assert common[0] != common[1]
