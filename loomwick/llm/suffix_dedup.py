@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwick.llm.common import materialise, released, spread_join, table
+from loomwick.llm.common import drop_path, made_here, materialise, released, spread_join, table
 
 LENGTH, GRAM = 200, 32
 #: Bytes of segments that one run-length index holds.
@@ -385,7 +385,18 @@ def _wanted(variants: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, anchor_bytes: int = ANCHOR_BYTES, levels: int = LEVELS) -> DataFrame:
-    """doc_id, th and spans (lo, hi in bytes, some may touch or overlap) of texts with repeated windows."""
+    """doc_id, th and spans (lo, hi in bytes, some may touch or overlap) of texts with repeated windows.
+
+    The spans are written; the tables that lead to them are deleted.
+    """
+    with made_here() as paths:
+        found = materialise(_spans(docs, length, shard_bytes, anchor_bytes, levels), "spans")
+    for path in paths[:-1]:
+        drop_path(docs.sparkSession, path)
+    return found
+
+
+def _spans(docs: DataFrame, length: int, shard_bytes: int, anchor_bytes: int, levels: int) -> DataFrame:
     texts = keyed(docs)
     segs = materialise(texts.filter(F.length("raw") >= length).mapInArrow(_segments(length), SEG), "segments")
     span = [F.col("start").alias("lo"), (F.col("start") + F.col("nwin") + (length - 1)).alias("hi")]
