@@ -88,10 +88,13 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     unnamed = F.shiftrightunsigned(F.xxhash64(text), 1).bitwiseOR(F.lit(1 << 62))
     given = F.col(names[docs.columns.index("doc_id")]).cast("long")
     named = rows.withColumns({"doc_id": F.coalesce(given, unnamed), "th": F.xxhash64(text), "text": text})
-    found = near_copies.near_copies(named.select("doc_id", "text"))
-    seen = found.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
-    stay = seen.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("x"))
-    stay = materialise(stay.select("x.*"), "stay")
+    with made_here() as paths:
+        found = near_copies.near_copies(named.select("doc_id", "text"))
+        seen = found.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+        stay = seen.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("x"))
+        stay = materialise(stay.select("x.*"), "stay")
+    for path in paths[:-1]:  # what led to the rows that stay
+        drop_path(spark, path)
     key = ["doc_id", "th"]
     once = named.join(stay.filter("n = 1").select(*key), key, "left_semi").select(*names)
     if stay.filter("n > 1").take(1):  # rows with one id and one text
