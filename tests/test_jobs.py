@@ -131,3 +131,18 @@ def test_catalogue_equals_sql(spark, name):
     assert sorted(names) == cols
     want = sorted(repr([plain(r[names.index(c)]) for c in cols]) for r in got.fetchall())
     assert sorted(repr([plain(r[c]) for c in cols]) for r in rows) == want
+
+
+def test_listed_articles_of_large_pages(spark, tmp_path):
+    """A channel's page of more than two million characters, with names that hold markup, lists every article."""
+    duckdb = pytest.importorskip("duckdb")
+    path = str(tmp_path / "part.parquet")
+    name = F.concat(F.lit("</script> 'n\"o' é\\ "), F.repeat(F.lit("x"), 60), F.col("id"))
+    parts = spark.range(22_000).select(F.col("id").alias("p_partkey"), name.alias("p_name"), F.when(F.col("id") < 20_000, "Brand#1").otherwise("Brand#2").alias("p_brand"))
+    parts.write.parquet(path)
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{path}/*.parquet'")
+    want = con.execute(registry.ORACLES["listed_articles"]).fetchall()
+    got = registry.QUERIES["listed_articles"](spark, str(tmp_path)).select("channel", "cid", "title", "at").collect()
+    assert len(got) == 22_000 and sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
