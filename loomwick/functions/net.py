@@ -14,6 +14,8 @@ from loomwick.types import plain
 
 #: Networks whose addresses hold another IPv4 address.
 EMBEDDING = [ipaddress.ip_network(n) for n in ("64:ff9b::/96", "64:ff9b:1::/48", "2002::/16", "2001::/32")]
+#: Fixed value: a block of protocol addresses, none of them a host's, though Python counts some as global (192.0.0.9).
+PROTOCOLS = ipaddress.ip_network("192.0.0.0/24")
 #: Statuses that mean a block, a retry, a redirect.
 BLOCKED, RETRY, REDIRECT = [401, 403, 407, 418, 429, 451, 503], [429, 500, 502, 503, 504], [301, 302, 303, 307, 308]
 MAX_REDIRECTS = 5
@@ -25,7 +27,7 @@ def is_public(address: str | None) -> bool:
     except ValueError:
         return False
     ip = getattr(ip, "ipv4_mapped", None) or ip
-    return ip.is_global and not ip.is_multicast and not (ip.version == 6 and any(ip in n for n in EMBEDDING))
+    return ip.is_global and not ip.is_multicast and not (any(ip in n for n in EMBEDDING) if ip.version == 6 else ip in PROTOCOLS)
 
 
 @pandas_udf(plain("boolean"))
